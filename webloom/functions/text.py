@@ -10,6 +10,7 @@ from webloom.functions.fixed_values import STOP_WORDS, TOKEN_PUNCTUATION
 # White space as Python's str.strip and str.split see it.
 SPACE = r"[\t-\r\x1c-\x20\x{85}\p{Z}]"
 SPACE_NOT_NEWLINE = r"[\t\x0b-\r\x1c-\x20\x{85}\p{Z}]"
+NOT_SPACE = r"[^\t-\r\x1c-\x20\x{85}\p{Z}]"
 EDGE_SPACE = rf"^{SPACE}+|{SPACE}+$"
 
 WORD = r"[\p{L}\p{N}_]{2,}"
@@ -73,6 +74,11 @@ def words(text: Column) -> Column:
     return F.when(flat == "", F.array().cast("array<string>")).otherwise(F.split(flat, f"{SPACE}+"))
 
 
+def has_words(text: Column, n: int) -> Column:
+    """Whether a text holds at least ``n`` words; looks no further than the n-th."""
+    return text.rlike(rf"^{SPACE}*(?:{NOT_SPACE}++{SPACE}++){{{n - 1}}}{NOT_SPACE}")
+
+
 def shingles(word_list: Column, n: int) -> Column:
     """Distinct runs of ``n`` words in order of first appearance; empty if there are fewer."""
     check_shingle_length(n)

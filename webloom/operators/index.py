@@ -23,10 +23,12 @@ def index_tokens(
     The built-in stop list is a fixed set inside the expression, so nothing is joined. A list of
     one's own comes as a DataFrame with a ``word`` column.
     """
+    # An inner explode would make the optimizer copy the token expression into a filter below it,
+    # and tokenise twice; rows without tokens are dropped by the null test instead.
     stream = docs.select(
         F.col(doc_id).alias("doc_id"),
-        F.posexplode(text_fn.tokens(F.col(text), keep_empty)).alias("pos", "term"),
-    )
+        F.posexplode_outer(text_fn.tokens(F.col(text), keep_empty)).alias("pos", "term"),
+    ).where(F.col("term").isNotNull())
     if stop_words is None:
         return stream.where(~text_fn.is_stop_word(F.col("term"), strip_stop_apostrophe))
     listed = stop_words.select(F.col("word").alias("term")).distinct()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webloom.functions import html as html_fn
@@ -23,11 +23,8 @@ def page_text(pages: DataFrame, include_scripts: bool = False) -> DataFrame:
 
 def anchors(pages: DataFrame) -> DataFrame:
     """Raw anchors ``(page_id, src_url, pos, href)`` in page order."""
-    return page_scan(pages).select(
-        "page_id",
-        F.col("url").alias("src_url"),
-        F.posexplode(html_fn.anchor_hrefs(F.col("html"))).alias("pos", "href"),
-    )
+    hrefs = html_fn.anchor_hrefs(F.col("html"))
+    return _one_row_each(page_scan(pages), hrefs, "href")
 
 
 def extract_links(pages: DataFrame, skip_binary: bool = True) -> DataFrame:
@@ -41,11 +38,16 @@ def extract_links(pages: DataFrame, skip_binary: bool = True) -> DataFrame:
     absolute = F.array_distinct(
         F.transform(hrefs, lambda h: urls.normalize(urls.resolve(F.col("url"), h)))
     )
-    return page_scan(pages).select(
-        "page_id",
-        F.col("url").alias("src_url"),
-        F.posexplode(absolute).alias("pos", "url"),
+    return _one_row_each(page_scan(pages), absolute, "_link").withColumnRenamed("_link", "url")
+
+
+def _one_row_each(pages: DataFrame, values: Column, name: str) -> DataFrame:
+    """Array elements as rows. The outer form keeps the optimizer from parsing every page a second
+    time in a filter on the array size."""
+    rows = pages.select(
+        "page_id", F.col("url").alias("src_url"), F.posexplode_outer(values).alias("pos", name)
     )
+    return rows.where(F.col(name).isNotNull())
 
 
 def same_domain(links: DataFrame, seed_url: str | None = None) -> DataFrame:

@@ -54,9 +54,9 @@ def rated_items(items: DataFrame, ratings: DataFrame) -> DataFrame:
 
 def category_features(items: DataFrame) -> DataFrame:
     """One presence row ``(item, feature, weight)`` for each distinct category of an item."""
-    return items.select(
-        "item", F.explode(F.array_distinct("category")).alias("feature")
-    ).withColumn("weight", F.lit(1.0))
+    labels = F.explode_outer(F.array_distinct("category")).alias("feature")
+    present = items.select("item", labels).where(F.col("feature").isNotNull())
+    return present.withColumn("weight", F.lit(1.0))
 
 
 def category_vocabulary(items: DataFrame) -> DataFrame:
@@ -93,7 +93,10 @@ def tfidf(
     table, so the rows themselves are joined only once.
     """
     counts = (
-        texts.select("item", F.explode(text_fn.vocabulary_words(F.col("text"))).alias("feature"))
+        texts.select(
+            "item", F.explode_outer(text_fn.vocabulary_words(F.col("text"))).alias("feature")
+        )
+        .where(F.col("feature").isNotNull())
         .groupBy("item", "feature")
         .agg(F.count(F.lit(1)).alias("tf"))
     )

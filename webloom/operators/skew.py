@@ -67,7 +67,7 @@ def join_skewed(
     )
     right = (
         small.join(hot, on, "left")
-        .withColumn("_salt", F.explode(parts.otherwise(F.array(F.lit(0)))))
+        .withColumn("_salt", F.explode_outer(parts.otherwise(F.array(F.lit(0)))))
         .drop("_hot")
     )
     return left.join(right, [*on, "_salt"], how).drop("_salt")
