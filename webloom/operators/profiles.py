@@ -184,8 +184,9 @@ def top_items(
     """
     if k <= 0:
         raise ValueError("k must be greater than 0")
-    u = _unit_vectors(users.withColumnRenamed("user", "id"))
-    i = _unit_vectors(profiles.withColumnRenamed("item", "id"))
+    # Fresh column names: both sides may come from the same tables.
+    u = _unit_vectors(users.select("user", "feature", "weight").toDF("id", "label", "value"))
+    i = _unit_vectors(profiles.select("item", "feature", "weight").toDF("id", "label", "value"))
     user_blocks = _blocks_for(users, "user", user_block)
     item_blocks = _blocks_for(profiles, "item", item_block)
     block_of = lambda blocks: F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
@@ -222,10 +223,8 @@ def _blocks_for(vectors: DataFrame, key: str, keys_in_block: int) -> int:
 
 def _unit_vectors(vectors: DataFrame) -> DataFrame:
     """Rows ``(id, feature, weight)`` scaled to unit length; zero vectors keep weight 0."""
-    length = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy("id")))
-    return vectors.select(
-        "id", "feature", cosine_of(F.col("weight"), length).alias("weight")
-    )
+    length = F.sqrt(F.sum(F.col("value") * F.col("value")).over(Window.partitionBy("id")))
+    return vectors.select("id", "label", cosine_of(F.col("value"), length).alias("value"))
 
 
 def _best_in_block(a: pd.DataFrame, b: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -233,11 +232,11 @@ def _best_in_block(a: pd.DataFrame, b: pd.DataFrame, k: int) -> pd.DataFrame:
     users, rows = np.unique(a["id"].to_numpy(), return_inverse=True)
     items, cols = np.unique(b["id"].to_numpy(), return_inverse=True)
     scores = np.zeros((len(users), len(items)))
-    by_feature = dict(tuple(b.assign(col=cols).groupby("feature")[["col", "weight"]]))
-    for feature, part in a.assign(row=rows).groupby("feature"):
-        other = by_feature.get(feature)
+    of_items = dict(tuple(b.assign(col=cols).groupby("label")[["col", "value"]]))
+    for label, part in a.assign(row=rows).groupby("label"):
+        other = of_items.get(label)
         if other is not None:
-            scores[np.ix_(part["row"], other["col"])] += np.outer(part["weight"], other["weight"])
+            scores[np.ix_(part["row"], other["col"])] += np.outer(part["value"], other["value"])
     # Rounding keeps equal scores equal whatever the order of addition; items are sorted.
     scores = scores.round(12)
     keep = min(k, len(items))
