@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from webloom.functions import text as text_fn
 from webloom.functions.vectors import cosine_of
 from webloom.operators.skew import HOT_ROWS, hot_keys, join_skewed
+from webloom.session import cut_lineage
 
 # Feature families in order of precedence: a later family drops labels an earlier one has.
 CATEGORY, PRICE, TERM = "category", "price", "term"
@@ -172,7 +173,7 @@ def top_items(
     users: DataFrame,
     profiles: DataFrame,
     k: int = 2,
-    user_block: int = 2048,
+    user_block: int = 1024,
     item_block: int = 4096,
 ) -> DataFrame:
     """The ``k`` items nearest to each user profile by cosine: ``(user, rank, item, score)``.
@@ -184,11 +185,12 @@ def top_items(
     """
     if k <= 0:
         raise ValueError("k must be greater than 0")
+    users, profiles = cut_lineage(users), cut_lineage(profiles)
+    user_blocks = _blocks_for(users, "user", user_block)
+    item_blocks = _blocks_for(profiles, "item", item_block)
     # Fresh column names: both sides may come from the same tables.
     u = _unit_vectors(users.select("user", "feature", "weight").toDF("id", "label", "value"))
     i = _unit_vectors(profiles.select("item", "feature", "weight").toDF("id", "label", "value"))
-    user_blocks = _blocks_for(users, "user", user_block)
-    item_blocks = _blocks_for(profiles, "item", item_block)
     block_of = lambda blocks: F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
     left = u.withColumn("ub", block_of(user_blocks)).withColumn(
         "ib", F.explode(F.sequence(F.lit(0), F.lit(item_blocks - 1)))
@@ -227,16 +229,35 @@ def _unit_vectors(vectors: DataFrame) -> DataFrame:
     return vectors.select("id", "label", cosine_of(F.col("value"), length).alias("value"))
 
 
+def _column(positions: pd.Series, values: pd.Series, size: int) -> np.ndarray:
+    column = np.zeros(size)
+    column[positions.to_numpy()] = values.to_numpy()
+    return column
+
+
 def _best_in_block(a: pd.DataFrame, b: pd.DataFrame, k: int) -> pd.DataFrame:
     """Top ``k`` items of one item block for each user of one user block."""
     users, rows = np.unique(a["id"].to_numpy(), return_inverse=True)
     items, cols = np.unique(b["id"].to_numpy(), return_inverse=True)
     scores = np.zeros((len(users), len(items)))
+    dense_a, dense_b = [], []
     of_items = dict(tuple(b.assign(col=cols).groupby("label")[["col", "value"]]))
     for label, part in a.assign(row=rows).groupby("label"):
         other = of_items.get(label)
-        if other is not None:
+        if other is None:
+            continue
+        if len(part) * len(other) * 50 < scores.size:
+            # A rare feature touches few cells.
             scores[np.ix_(part["row"], other["col"])] += np.outer(part["value"], other["value"])
+            continue
+        # A common one becomes a column of a matrix product.
+        dense_a.append(_column(part["row"], part["value"], len(users)))
+        dense_b.append(_column(other["col"], other["value"], len(items)))
+        if len(dense_a) == 512:
+            scores += np.array(dense_a).T @ np.array(dense_b)
+            dense_a, dense_b = [], []
+    if dense_a:
+        scores += np.array(dense_a).T @ np.array(dense_b)
     # Rounding keeps equal scores equal whatever the order of addition; items are sorted.
     scores = scores.round(12)
     keep = min(k, len(items))

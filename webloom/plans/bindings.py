@@ -13,10 +13,21 @@ from webloom.operators.factorize import last_rating
 from webloom.operators.frontier import host_schedule, to_frontier
 from webloom.operators.links import extract_links
 from webloom.plans.registry import part
+from webloom.session import cut_lineage
+
+
+# Tables whose rows are costly to work on.
+TEXT_TABLES = ("documents", "pages")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table. A text table that comes in fewer splits than there are cores, as a small one
+    with a single row group does, is spread first; a large one is read as it is."""
+    rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in TEXT_TABLES and rows.rdd.getNumPartitions() < cores:
+        return rows.repartition(cores)
+    return rows
 
 
 # --- pages with links of all kinds -----------------------------------------------------------
@@ -130,6 +141,12 @@ def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_links(linked_pages(spark, sf_dir)).select("page_id", "src_url", "url")
 
 
+def stored_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The link table, written once: operators that pass over it more than once then read short
+    addresses and do not parse the pages again."""
+    return cut_lineage(links(spark, sf_dir))
+
+
 def crawled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select(urls.normalize(F.col("url")).alias("url"))
 
@@ -235,9 +252,16 @@ def base_time() -> Column:
 
 def frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Link targets, aged by the first page they are on; blog addresses get a middle priority."""
-    found = links(spark, sf_dir).withColumnRenamed("page_id", "seq")
+    return frontier_of(links(spark, sf_dir))
+
+
+def stored_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cut_lineage(frontier(spark, sf_dir))
+
+
+def frontier_of(found: DataFrame) -> DataFrame:
     middle = (F.col("priority") > 3) & F.col("url").contains("blog")
-    return to_frontier(found).withColumn(
+    return to_frontier(found.withColumnRenamed("page_id", "seq")).withColumn(
         "priority", F.when(middle, F.lit(3)).otherwise(F.col("priority"))
     )
 

@@ -117,7 +117,7 @@ def same_domain_links(spark, sf_dir):
 def seed_host_links(spark, sf_dir):
     """Links to the hosts of all English pages, the seeds of this crawl."""
     seeds = b.table(spark, sf_dir, "pages").where(F.col("url").contains("/en/"))
-    found = ln.on_seed_hosts(b.links(spark, sf_dir), seeds)
+    found = ln.on_seed_hosts(b.stored_links(spark, sf_dir), seeds)
     return found.select("page_id", "src_url", "url")
 
 
@@ -191,7 +191,7 @@ def robots_agent_rules(spark, sf_dir):
 )
 def robots_allowed(spark, sf_dir):
     rules = rb.robots_rules(b.robots(spark, sf_dir), agent="*")
-    return rb.robots_allowed(b.links(spark, sf_dir), rules)
+    return rb.robots_allowed(b.stored_links(spark, sf_dir), rules)
 
 
 @query(
@@ -206,7 +206,7 @@ def robots_allowed(spark, sf_dir):
 )
 def robots_exact(spark, sf_dir):
     rules = rb.robots_rules(b.robots(spark, sf_dir), agent="*")
-    return rb.robots_allowed(b.links(spark, sf_dir), rules, match="exact")
+    return rb.robots_allowed(b.stored_links(spark, sf_dir), rules, match="exact")
 
 
 part(
@@ -252,7 +252,8 @@ FROM links""",
     ),
 )
 def robots_can_fetch(spark, sf_dir):
-    checked = rb.robots_can_fetch(b.links(spark, sf_dir), b.robots(spark, sf_dir), "IndexBot/2.1")
+    found = b.stored_links(spark, sf_dir)
+    checked = rb.robots_can_fetch(found, b.robots(spark, sf_dir), "IndexBot/2.1")
     return checked.select("page_id", "url", "can_fetch")
 
 
@@ -284,7 +285,7 @@ def robots_facts(spark, sf_dir):
     ),
 )
 def frontier_top2(spark, sf_dir):
-    return fr.in_best_priorities(b.frontier(spark, sf_dir)).select("url", "host", "priority", "seq")
+    return fr.in_best_priorities(b.stored_frontier(spark, sf_dir)).select("url", "host", "priority", "seq")
 
 
 @query(
@@ -302,7 +303,7 @@ WHERE place <= quota""",
     ),
 )
 def frontier_quota(spark, sf_dir):
-    batch = fr.quota_batch(b.frontier(spark, sf_dir), batch=100)
+    batch = fr.quota_batch(b.stored_frontier(spark, sf_dir), batch=100)
     return batch.select("priority", "quota", "url", "place")
 
 
@@ -318,13 +319,13 @@ FROM (SELECT *, row_number() OVER (PARTITION BY host ORDER BY priority, seq {dir
 
 @query("crawl_schedule", schedule_sql("ASC"))
 def crawl_schedule(spark, sf_dir):
-    slots = fr.crawl_schedule(b.frontier(spark, sf_dir), b.base_time())
+    slots = fr.crawl_schedule(b.stored_frontier(spark, sf_dir), b.base_time())
     return slots.select("host", "url", "priority", "slot", stamp("next_time"))
 
 
 @query("crawl_schedule_lifo", schedule_sql("DESC"))
 def crawl_schedule_lifo(spark, sf_dir):
-    slots = fr.crawl_schedule(b.frontier(spark, sf_dir), b.base_time(), discipline="lifo")
+    slots = fr.crawl_schedule(b.stored_frontier(spark, sf_dir), b.base_time(), discipline="lifo")
     return slots.select("host", "url", "priority", "slot", stamp("next_time"))
 
 
@@ -410,7 +411,7 @@ def frontier_round(spark, sf_dir):
     pages = b.linked_pages(spark, sf_dir)
     crawled = b.crawled(spark, sf_dir).where(F.startswith("url", F.lit("http://")))
     result = fr.frontier_round(
-        b.frontier(spark, sf_dir),
+        b.stored_frontier(spark, sf_dir),
         pages,
         b.schedule(spark, sf_dir),
         crawled,
@@ -459,7 +460,7 @@ WHERE depth < 30""",
 )
 def crawl_closure(spark, sf_dir):
     """Everything the first page leads to, over links that robots rules allow, across hosts."""
-    found = b.links(spark, sf_dir)
+    found = b.stored_links(spark, sf_dir)
     rules = rb.robots_rules(b.robots(spark, sf_dir), agent="IndexBot")
     edges = rb.robots_allowed(found, rules).withColumn("src_url", urls.normalize(F.col("src_url")))
     pages = b.table(spark, sf_dir, "pages")
