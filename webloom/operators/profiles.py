@@ -164,9 +164,10 @@ def user_profiles(
         .groupBy("user", "feature")
         .agg(F.sum(F.col("weight") * F.col("rating")).alias("weighted"))
     )
-    return join_skewed(
-        summed, total, ["user"], hot=hot_keys(summed, ["user"], min_rows)
-    ).select("user", "feature", (F.col("weighted") / F.col("total")).alias("weight"))
+    # One row for each user and feature by now: no user has more rows than there are features.
+    return summed.join(total, "user").select(
+        "user", "feature", (F.col("weighted") / F.col("total")).alias("weight")
+    )
 
 
 def top_items(
@@ -261,11 +262,19 @@ def _best_in_block(a: pd.DataFrame, b: pd.DataFrame, k: int) -> pd.DataFrame:
     # Rounding keeps equal scores equal whatever the order of addition; items are sorted.
     scores = scores.round(12)
     keep = min(k, len(items))
-    order = np.argsort(-scores, axis=1, kind="stable")[:, :keep]
+    if keep == 0:
+        return pd.DataFrame({"user": users[:0], "item": items[:0], "score": scores[:0].ravel()})
+    places, values, row = [], [], np.arange(len(users))
+    for _ in range(keep):
+        # The first of several maxima is the smaller item.
+        best = scores.argmax(axis=1)
+        places.append(best)
+        values.append(scores[row, best])
+        scores[row, best] = -np.inf
     return pd.DataFrame(
         {
-            "user": np.repeat(users, keep),
-            "item": items[order.ravel()],
-            "score": np.take_along_axis(scores, order, axis=1).ravel(),
+            "user": np.tile(users, keep),
+            "item": items[np.concatenate(places)],
+            "score": np.concatenate(values),
         }
     )

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A key is hot from this many rows on.
 HOT_ROWS = 500_000
@@ -13,6 +14,7 @@ HOT_ROWS = 500_000
 MAX_HOT_KEYS = 256
 # Parts a hot key is split into.
 SALTS = 32
+SALT = "_salt"
 
 
 def hot_keys(
@@ -50,27 +52,42 @@ def join_skewed(
 ) -> DataFrame:
     """Equi join whose left side may be skewed and whose right side has few rows for each key.
 
-    Rows of hot keys are spread over ``salts`` parts by a hash of the whole row, which a retried
-    task computes again in the same way; the matching rows on the right are repeated once for each
-    part. All other keys join as usual. ``how`` may be inner, left, left_semi or left_anti.
+    Rows of hot keys are spread over ``salts`` parts by a hash of their exact columns, which a
+    retried task computes again in the same way; the matching rows on the right are repeated once
+    for each part. All other keys join as usual. ``how`` may be inner, left, left_semi or left_anti.
+
+    Without ``hot`` the keys of ``big`` are counted first, so ``big`` should be a table and not a
+    costly pipeline.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join_skewed cannot do a {how!r} join")
-    # The list has at most MAX_HOT_KEYS rows.
-    hot = F.broadcast(hot if hot is not None else hot_keys(big, on, min_rows))
-    spread = F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int")
-    parts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-    left = (
-        big.join(hot, on, "left")
-        .withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0)))
-        .drop("_hot")
-    )
-    right = (
-        small.join(hot, on, "left")
-        .withColumn("_salt", F.explode_outer(parts.otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
+    hot = hot if hot is not None else hot_keys(big, on, min_rows)
+    left, right = salted(big, on, hot, salts), salted_match(small, on, hot, salts)
+    return left.join(right, [*on, SALT], how).drop(SALT)
+
+
+def salted(big: DataFrame, on: list[str], hot: DataFrame, salts: int = SALTS) -> DataFrame:
+    """The skewed side of a salted join: ``big`` with its part number."""
+    spread = F.pmod(F.xxhash64(*_exact_columns(big, on)), F.lit(salts)).cast("int")
+    # The list of hot keys has at most MAX_HOT_KEYS rows.
+    marked = big.join(F.broadcast(hot), on, "left")
+    return marked.withColumn(SALT, F.when(F.col("_hot"), spread).otherwise(F.lit(0))).drop("_hot")
+
+
+def salted_match(small: DataFrame, on: list[str], hot: DataFrame, salts: int = SALTS) -> DataFrame:
+    """The other side: rows of hot keys once for each part."""
+    parts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
+        F.array(F.lit(0))
     )
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    marked = small.join(F.broadcast(hot), on, "left")
+    return marked.withColumn(SALT, F.explode_outer(parts)).drop("_hot")
+
+
+def _exact_columns(df: DataFrame, on: list[str]) -> list[str]:
+    """Columns fit for a repeatable salt. A sum of doubles may differ in its last bit when a lost
+    task runs again, which would send a row to another part."""
+    exact = (T.StringType, T.IntegralType, T.DecimalType, T.DatetimeType, T.BooleanType)
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, exact)] or on
 
 
 def numbered(

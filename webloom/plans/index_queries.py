@@ -10,6 +10,7 @@ from webloom.functions.fixed_values import STOP_WORDS, TOKEN_PUNCTUATION
 from webloom.operators import index
 from webloom.plans.bindings import table
 from webloom.plans.registry import oracle, part, query
+from webloom.session import cut_lineage
 
 SPACE = r"[\t-\r\x1c-\x20\x{85}\p{Z}]"
 SPACE_NOT_NEWLINE = r"[\t\x0b-\r\x1c-\x20\x{85}\p{Z}]"
@@ -61,6 +62,11 @@ def postings_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.postings(index.normalize(documents(spark, sf_dir)))
 
 
+def stored_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written index that searches read."""
+    return cut_lineage(postings_table(spark, sf_dir))
+
+
 @query(
     "corpus_scan",
     "SELECT source AS host, doc_id, coalesce(text, '') AS text FROM documents",
@@ -130,7 +136,7 @@ FROM postings GROUP BY term""",
 def index_append(spark, sf_dir):
     """The English part is indexed already when the whole corpus arrives."""
     docs = table(spark, sf_dir, "documents")
-    old = index.postings(index.normalize(docs.where(F.col("lang") == "en")))
+    old = cut_lineage(index.postings(index.normalize(docs.where(F.col("lang") == "en"))))
     added = index.append_postings(old, index.normalize(docs))
     return index.refreshed_frequency(old, added)
 
@@ -149,7 +155,7 @@ GROUP BY query_id, doc_id, n_terms HAVING count(*) = n_terms""",
 def boolean_query(spark, sf_dir):
     """Every ``benchmark`` passage as a conjunctive query over ``documents``."""
     questions = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    return index.boolean_query(index.query_terms(questions), postings_table(spark, sf_dir))
+    return index.boolean_query(index.query_terms(questions), stored_postings(spark, sf_dir))
 
 
 @query(
@@ -172,4 +178,4 @@ def postings_intersect(spark, sf_dir):
         .groupBy(F.col("query_id").alias("pair_id"))
         .agg(F.min("term").alias("term1"), F.max("term").alias("term2"))
     )
-    return index.intersect_terms(pairs, postings_table(spark, sf_dir))
+    return index.intersect_terms(pairs, stored_postings(spark, sf_dir))

@@ -44,3 +44,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and go on from there. Survives executor loss."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cut_lineage_by(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Like ``cut_lineage``, with the rows hash-partitioned by ``keys`` in a way later joins on
+    those keys know of. An adaptive plan does not report its layout, so this one write goes
+    without."""
+    conf = df.sparkSession.conf
+    adaptive = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parts = int(conf.get("spark.sql.shuffle.partitions"))
+        return cut_lineage(df.repartition(parts, *keys))
+    finally:
+        conf.set("spark.sql.adaptive.enabled", adaptive)
