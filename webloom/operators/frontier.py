@@ -16,7 +16,7 @@ from webloom.functions import urls
 from webloom.functions.fixed_values import POLITENESS_SECONDS, PRIORITY_KEYWORD
 from webloom.operators.links import extract_links, same_domain
 from webloom.operators.skew import HOT_ROWS, join_skewed, numbered
-from webloom.session import cut_lineage
+from webloom.session import cut_lineage, cut_lineage_by
 
 
 def to_frontier(links: DataFrame, seq: str = "seq", keyword: str = PRIORITY_KEYWORD) -> DataFrame:
@@ -162,7 +162,7 @@ def frontier_round(
 
 
 def crawl_closure(
-    seeds: DataFrame, edges: DataFrame, max_depth: int | None = None, partitions: int | None = None
+    seeds: DataFrame, edges: DataFrame, max_depth: int | None = None
 ) -> DataFrame:
     """Breadth-first closure of ``seeds (url)`` over ``edges (src_url, url)``: ``(url, depth)``.
 
@@ -172,9 +172,7 @@ def crawl_closure(
     """
     pairs = edges.select("src_url", "url").distinct()
     # Laid out by source once, so that a round shuffles its own addresses only.
-    by_source = cut_lineage(
-        pairs.repartition(partitions, "src_url") if partitions else pairs.repartition("src_url")
-    )
+    by_source = cut_lineage_by(pairs, ["src_url"])
     new = cut_lineage(seeds.select("url").distinct().withColumn("depth", F.lit(0)))
     rounds = [new]
     while max_depth is None or len(rounds) <= max_depth:
