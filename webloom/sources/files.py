@@ -21,8 +21,7 @@ WORD_NAMESPACE = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}
 
 def read_text_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """Whole UTF-8 files: ``(path, text)``."""
-    reader = _reader(spark, glob).option("wholetext", True)
-    return reader.text(path).select(
+    return _reader(spark, glob).text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")
     )
 
