@@ -231,7 +231,7 @@ def test_index_and_last_rating(spark):
         [("b", "x", 1.0, 1), ("a", "y", 2.0, 2), ("b", "y", 3.0, 3), ("b", "x", 4.0, 4), ("c", "x", 5.0, 5)],
         "user string, item string, rating double, seq bigint",
     )
-    users = fz.first_seen_ids(table, "user", "user_id", buckets=2)
+    users = fz.first_seen_ids(table, "user", "user_id", partitions=2)
     items = fz.first_seen_ids(table, "item", "item_id")
     assert rows(users) == [("a", 1), ("b", 0), ("c", 2)] and rows(items) == [("x", 0), ("y", 1)]
     assert rows(fz.last_rating(table)) == [("a", "y", 2.0), ("b", "x", 4.0), ("b", "y", 3.0), ("c", "x", 5.0)]

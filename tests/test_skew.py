@@ -48,20 +48,29 @@ def test_other_joins_are_refused(big, small):
         join_skewed(big, small, ["key"], "full")
 
 
-@pytest.mark.parametrize("buckets", [1, 3, 16])
-def test_numbered_equals_row_number(big, buckets):
+@pytest.mark.parametrize("partitions", [1, 3, 16])
+def test_numbered_equals_row_number(big, partitions):
     ranked = big.withColumn("seq", F.col("n") % 40)
-    found = numbered(ranked, "seq", "no", ["key"], tie_break=["n"], buckets=buckets)
+    found = numbered(ranked, ["seq", "n"], "no", ["key"], partitions)
     plain = ranked.withColumn("no", F.row_number().over(Window.partitionBy("key").orderBy("seq", "n")))
     assert rows(found, "key", "n", "no") == rows(plain, "key", "n", "no")
 
 
-def test_numbered_over_all_rows_with_leading_column(big):
-    ranked = big.withColumn("level", (F.col("n") % 3).cast("int"))
-    found = numbered(ranked, "n", "no", first_by=["level"], buckets=5)
+def test_numbered_over_all_rows(big):
+    ranked = big.withColumn("level", F.concat(F.lit("l"), F.col("n") % 3))
+    found = numbered(ranked, ["level", "n"], "no", partitions=5)
     order = Window.partitionBy(F.lit(1)).orderBy("level", "n")
     assert rows(found, "n", "no") == rows(ranked.withColumn("no", F.row_number().over(order)), "n", "no")
 
 
+def test_numbered_splits_equal_values(big):
+    """One group with one value of the first order column still spreads over many ranges."""
+    ranked = big.select(F.lit("g").alias("g"), F.lit(1).alias("seq"), "n")
+    plan = numbered(ranked, ["seq", "n"], "no", ["g"], partitions=10)
+    assert sorted(r["no"] for r in plan.collect()) == list(range(1, 501))
+    sizes = ranked.repartitionByRange(10, "g", "seq", "n").groupBy(F.spark_partition_id()).count()
+    assert max(r["count"] for r in sizes.collect()) < 100
+
+
 def test_numbered_empty(big):
-    assert numbered(big.where("n < 0"), "n", "no", ["key"]).collect() == []
+    assert numbered(big.where("n < 0"), ["n"], "no", ["key"]).collect() == []

@@ -42,25 +42,19 @@ def in_best_priorities(frontier: DataFrame, n: int = 2) -> DataFrame:
 
 def priority_quotas(frontier: DataFrame, batch: int) -> DataFrame:
     """``(priority, quota)``: a batch shared out by weight 1/rank, rank 1 being the best priority.
-
-    Counts of a handful of priorities; quotas are rounded up.
-    """
-    present = frontier.select("priority").distinct()
-    # Rank among the priorities themselves, a list as short as the set of priorities.
-    ranked = present.groupBy().agg(F.sort_array(F.collect_set("priority")).alias("all"))
-    weights = ranked.select(F.posexplode("all").alias("pos", "priority"), F.size("all").alias("n"))
-    total = F.aggregate(
-        F.sequence(F.lit(1), F.col("n")), F.lit(0.0), lambda s, i: s + F.lit(1.0) / i
-    )
-    share = (F.lit(1.0) / (F.col("pos") + 1)) / total
+    Quotas are rounded up."""
+    ranked = numbered(frontier.select("priority").distinct(), ["priority"], "rank")
+    weights = ranked.select("priority", (F.lit(1.0) / F.col("rank")).alias("weight"))
+    share = F.col("weight") / weights.select(F.sum("weight")).scalar()
     return weights.select("priority", F.ceil(F.round(share * batch, 9)).alias("quota"))
 
 
 def quota_batch(frontier: DataFrame, batch: int, **options) -> DataFrame:
     """The oldest addresses of each priority up to its quota."""
-    placed = numbered(frontier, "seq", "place", ["priority"], tie_break=["url"], **options)
-    quotas = F.broadcast(priority_quotas(frontier, batch))
-    return placed.join(quotas, "priority").where(F.col("place") <= F.col("quota"))
+    placed = numbered(frontier, ["seq", "url"], "place", ["priority"], **options)
+    # No place beyond the batch can be within a quota, so the join sees a small part of the rows.
+    first = placed.where(F.col("place") <= batch)
+    return first.join(priority_quotas(frontier, batch), "priority").where("place <= quota")
 
 
 def crawl_schedule(
@@ -78,9 +72,7 @@ def crawl_schedule(
         raise ValueError("discipline must be 'fifo' or 'lifo'")
     sign = 1 if discipline == "fifo" else -1
     ordered = frontier.withColumn("_order", F.col("seq") * sign)
-    placed = numbered(
-        ordered, "_order", "slot", ["host"], first_by=["priority"], tie_break=["url"], **options
-    )
+    placed = numbered(ordered, ["priority", "_order", "url"], "slot", ["host"], **options)
     delay = F.make_dt_interval(secs=(F.col("slot") - 1) * wait)
     return placed.select("host", "url", "priority", "slot", (base_time + delay).alias("next_time"))
 

@@ -141,29 +141,29 @@ def boolean_query(
             F.count(F.lit(1)).alias("n_terms"),
             F.count("df").alias("n_known"),
             F.min(F.struct("df", "term")).alias("rarest"),
+            # The terms of one query come from one text value, which bounds the list.
+            F.collect_list("term").alias("terms"),
         )
         .where(F.col("n_terms") == F.col("n_known"))
-        .select("query_id", "n_terms", F.col("rarest.term").alias("term"))
+        .select("query_id", "terms", F.col("rarest.term").alias("term"))
     )
     frequent = hot_keys(
         dictionary, ["term"], skew_options.pop("min_rows", 500_000), weight="df"
     )
     candidates = join_skewed(postings_table, per_query, ["term"], hot=frequent, **skew_options)
-    rest = (
-        candidates.withColumnRenamed("term", "rarest")
-        .join(terms, "query_id")
-        .where(F.col("term") != F.col("rarest"))
-        .select("query_id", "n_terms", "doc_id", "term")
+    wanted = candidates.select(
+        "query_id",
+        "doc_id",
+        F.size("terms").alias("n_terms"),
+        F.explode_outer("terms").alias("term"),
     )
-    confirmed = (
-        rest.join(postings_table, ["doc_id", "term"], "left_semi")
+    return (
+        wanted.join(postings_table, ["doc_id", "term"], "left_semi")
         .groupBy("query_id", "doc_id", "n_terms")
         .agg(F.count(F.lit(1)).alias("hits"))
-        .where(F.col("hits") == F.col("n_terms") - 1)
+        .where(F.col("hits") == F.col("n_terms"))
         .select("query_id", "doc_id")
     )
-    single = candidates.where(F.col("n_terms") == 1).select("query_id", "doc_id")
-    return confirmed.unionByName(single)
 
 
 def intersect_terms(pairs: DataFrame, postings_table: DataFrame) -> DataFrame:

@@ -81,7 +81,7 @@ def crawl_doc_ids(
     ``existing`` ``(host, n)`` holds how many documents a host has already.
     """
     hosted = pages.select(urls.host(F.col("url")).alias("host"), "url", seq)
-    counted = numbered(hosted, seq, "doc_no", ["host"], tie_break=["url"], **options)
+    counted = numbered(hosted, [seq, "url"], "doc_no", ["host"], **options)
     if existing is not None:
         counted = (
             join_skewed(counted, existing, ["host"], "left")

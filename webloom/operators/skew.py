@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from webloom.session import cut_lineage
+
 # A key is hot from this many rows on.
 HOT_ROWS = 500_000
 # At most this many keys are treated as hot, so the broadcast list has a fixed bound.
@@ -92,42 +94,35 @@ def _exact_columns(df: DataFrame, on: list[str]) -> list[str]:
 
 def numbered(
     df: DataFrame,
-    seq: str,
+    order: list[str],
     out: str,
     group: list[str] | None = None,
-    first_by: list[str] | None = None,
-    tie_break: list[str] | None = None,
-    buckets: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Number rows 1, 2, 3, ... by ``first_by``, ``seq``, ``tie_break`` inside each ``group``.
+    """Number rows 1, 2, 3, ... in ``order`` inside each ``group``, or over the whole table.
 
-    A plain ``row_number`` would sort a whole group in one task. Here the numeric ``seq`` is cut
-    into value ranges of about equal row counts; a range is numbered on its own and starts after
-    the rows of the ranges before it. ``first_by`` columns should have few distinct values.
+    A plain ``row_number`` would sort a whole group in one task. Here the rows are cut into ranges
+    of ``(group, order)`` by sampled bounds, so a large group spreads over many ranges, and equal
+    values do as long as a later column tells them apart. Each range is numbered on its own and
+    starts after the rows of the ranges before it. The ranges are written once, so that counts and
+    numbers see the same cut even if a task is lost.
     """
     group = group or []
-    first_by = first_by or []
-    if buckets is None:
-        buckets = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    buckets = min(buckets, 512)
-    shares = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(df.approxQuantile(seq, shares, 1 / (4 * buckets)))) if shares else []
-    ranged = df.withColumn("_range", _range_of(F.col(seq), cuts))
-    part = [*group, *first_by, "_range"]
-    before = Window.partitionBy(*(group or [F.lit(0)])).orderBy(*first_by, "_range")
-    # One row for each group and range: no group has more than 512 x |first_by values| of them.
+    if partitions is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = df.repartitionByRange(partitions, *group, *order)
+    ranged = cut_lineage(cut.withColumn("_range", F.spark_partition_id()))
+    part = [*group, "_range"]
+    # One row for each group and range: a group has no more of them than there are ranges.
+    before = Window.partitionBy(*(group or [F.lit(0)])).orderBy("_range")
+    counted_before = F.sum("_n").over(before.rowsBetween(Window.unboundedPreceding, -1))
     starts = (
         ranged.groupBy(*part)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn(
-            "_start",
-            F.coalesce(
-                F.sum("_n").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-            ),
-        )
+        .withColumn("_start", F.coalesce(counted_before, F.lit(0)))
         .drop("_n")
     )
-    inside = Window.partitionBy(*part).orderBy(seq, *(tie_break or []))
+    inside = Window.partitionBy(*part).orderBy(*order)
     keyed = ranged.withColumn("_at", F.row_number().over(inside))
     same = [F.col(f"k.{c}").eqNullSafe(F.col(f"s.{c}")) for c in part]
     joined = keyed.alias("k").join(starts.alias("s"), reduce(Column.__and__, same), "inner")
@@ -135,17 +130,3 @@ def numbered(
         *[F.col(f"k.{c}") for c in df.columns],
         (F.col("k._at") + F.col("s._start")).cast("bigint").alias(out),
     )
-
-
-def _range_of(value: Column, cuts: list[float]) -> Column:
-    """Number of cut points at or below ``value``, as a balanced tree of comparisons."""
-
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(value < F.lit(cuts[middle]), search(low, middle)).otherwise(
-            search(middle + 1, high)
-        )
-
-    return search(0, len(cuts))

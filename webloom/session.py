@@ -17,6 +17,8 @@ def local_session(cores: int | str = 8, app: str = "webloom", **conf: str) -> Sp
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Long iterations leave a checkpoint behind in each step.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
