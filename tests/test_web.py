@@ -72,6 +72,7 @@ ROBOTS = {
     "reset.dk": "User-agent: A\nDisallow: /one\nUser-agent: *\nDisallow: /star\nUser-agent: A\nDisallow: /two",
     "void.dk": "Disallow: /early\n\nUser-agent: A\n\nDisallow: /late\nUser-agent: *\nDisallow: /all",
     "empty.dk": "",
+    "odd.dk": "User-agent: *\nDisallow: rel/\nDisallow: /a/../b/",
 }
 
 
@@ -116,7 +117,7 @@ LINKS = [
     "http://mixed.dk/kgfs", "http://mixed.dk/xaa/y", "http://mixed.dk/xaa/yz", "http://other.dk/bin/",
     "https://full.dk/open/1", "https://full.dk/closed", "http://full.dk/c:d?e=1", "http://full.dk/~user/a",
     "http://full.dk/%7euser/a", "http://reset.dk/one", "http://reset.dk/two", "http://reset.dk/star",
-    "http://void.dk/early", "http://void.dk/late", "http://void.dk/all", "http://empty.dk", "http://void.dk",
+    "http://void.dk/early", "http://void.dk/late", "http://void.dk/all", "http://empty.dk", "http://void.dk", "http://odd.dk/rel/x", "http://odd.dk/b/1",
 ]
 
 
@@ -126,13 +127,16 @@ def link_table(spark):
 
 
 @pytest.mark.parametrize("min_rows", [1, 1000])
-def test_allowed(robots, link_table, min_rows):
+def test_allowed(spark, robots, link_table, min_rows):
     rules = rb.robots_rules(robots, agent="*")
     allowed = {u for (u,) in rows(rb.robots_allowed(link_table, rules, min_rows=min_rows))}
     assert set(LINKS) - allowed == {
         "http://plain.dk/bin/x", "http://mixed.dk/kgf", "http://mixed.dk/kgfs", "http://reset.dk/star",
-        "http://void.dk/all",
+        "http://void.dk/all", "http://odd.dk/b/1",
     }
+    # A relative rule means the folder of the address itself.
+    below = spark.createDataFrame([("http://odd.dk/rel/rel/x",)], "url string")
+    assert rows(rb.robots_allowed(below, rules)) == [("http://odd.dk/rel/rel/x",)]
     exact = {u for (u,) in rows(rb.robots_allowed(link_table, rules, match="exact"))}
     assert set(LINKS) - exact == {"http://mixed.dk/kgf", "http://reset.dk/star", "http://void.dk/all"}
     wild = {u for (u,) in rows(rb.robots_allowed(link_table, rules, wildcards=True))}

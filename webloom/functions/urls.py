@@ -29,9 +29,14 @@ def path(url: Column) -> Column:
     return F.regexp_extract(url, _PATH, 1)
 
 
+def after_host(url: Column) -> Column:
+    """Path, query and fragment."""
+    return F.regexp_replace(url, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?", "")
+
+
 def path_and_query(url: Column) -> Column:
     """What a robots rule is compared with: path, query and fragment, at least ``/``."""
-    rest = F.regexp_replace(url, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?", "")
+    rest = after_host(url)
     return F.when(rest == "", F.lit("/")).otherwise(rest)
 
 
@@ -54,23 +59,39 @@ def is_page_link(href: Column, skip_binary: bool = True) -> Column:
     return keep
 
 
+def base_parts(base: Column) -> Column:
+    """What resolution needs of a page address. As a column of its own it is worked out once for a
+    page and not once for every link."""
+    folder = F.regexp_extract(path(base), r"^(.*/)", 1)
+    scheme = F.regexp_extract(base, _SCHEME, 0)
+    return F.struct(
+        base.alias("url"),
+        scheme.alias("scheme"),
+        F.concat(scheme, F.lit("//"), F.regexp_extract(base, _AUTHORITY, 1)).alias("root"),
+        path(base).alias("path"),
+        F.when(folder == "", F.lit("/")).otherwise(folder).alias("folder"),
+        F.regexp_replace(base, r"#.*$", "").alias("document"),
+    )
+
+
 def resolve(base: Column, href: Column) -> Column:
     """Absolute form of ``href`` found on page ``base`` (RFC 3986 reference resolution)."""
-    scheme = F.regexp_extract(base, _SCHEME, 0)
-    authority = F.concat(F.lit("//"), F.regexp_extract(base, _AUTHORITY, 1))
-    base_path = path(base)
+    return resolve_from(base_parts(base), href)
+
+
+def resolve_from(base: Column, href: Column) -> Column:
+    """Like ``resolve``, with the ``base_parts`` of the page."""
     href_path = path(href)
     rest = F.concat(F.regexp_extract(href, _QUERY, 1), F.regexp_extract(href, _FRAGMENT, 1))
-    folder = F.regexp_extract(base_path, r"^(.*/)", 1)
-    joined = F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), href_path)
-    rooted = F.concat(scheme, authority)
+    rooted = base["root"]
+    joined = F.concat(base["folder"], href_path)
     resolved = (
-        F.when(href == "", base)
+        F.when(href == "", base["url"])
         .when(href.rlike(_SCHEME), href)
-        .when(F.startswith(href, F.lit("//")), F.concat(scheme, href))
+        .when(F.startswith(href, F.lit("//")), F.concat(base["scheme"], href))
         .when(F.startswith(href, F.lit("/")), F.concat(rooted, _without_dots(href_path), rest))
-        .when(F.startswith(href, F.lit("?")), F.concat(rooted, base_path, rest))
-        .when(F.startswith(href, F.lit("#")), F.concat(F.regexp_replace(base, r"#.*$", ""), href))
+        .when(F.startswith(href, F.lit("?")), F.concat(rooted, base["path"], rest))
+        .when(F.startswith(href, F.lit("#")), F.concat(base["document"], href))
         .otherwise(
             F.concat(rooted, _without_dots(F.regexp_replace(joined, r"(?<=.)/{2,}", "/")), rest)
         )

@@ -36,9 +36,10 @@ def extract_links(pages: DataFrame, skip_binary: bool = True) -> DataFrame:
         html_fn.anchor_hrefs(F.col("html")), lambda h: urls.is_page_link(h, skip_binary)
     )
     absolute = F.array_distinct(
-        F.transform(hrefs, lambda h: urls.normalize(urls.resolve(F.col("url"), h)))
+        F.transform(hrefs, lambda h: urls.normalize(urls.resolve_from(F.col("_base"), h)))
     )
-    return _one_row_each(page_scan(pages), absolute, "_link").withColumnRenamed("_link", "url")
+    based = page_scan(pages).withColumn("_base", urls.base_parts(F.col("url")))
+    return _one_row_each(based, absolute, "_link").withColumnRenamed("_link", "url")
 
 
 def _one_row_each(pages: DataFrame, values: Column, name: str) -> DataFrame:

@@ -79,9 +79,19 @@ def robots_rules(
 
 
 def _rule_lists(rules: DataFrame, wildcards: bool = False) -> DataFrame:
-    """One row for each host: its rule paths, bounded by the robots text they come from."""
-    path = _wildcard_pattern(F.col("path")) if wildcards else F.col("path")
-    return rules.groupBy("host").agg(F.collect_set(path).alias("_paths"))
+    """One row for each host: its rule paths, bounded by the robots text they come from.
+
+    ``_starts`` holds what the part of an address after the host starts with if the rule hits;
+    rules that do not begin with one slash depend on the address and stay in ``_odd``.
+    """
+    path = F.col("path")
+    rooted = F.startswith(path, F.lit("/")) & ~F.startswith(path, F.lit("//"))
+    start = urls.resolve(F.lit("http://h"), path).substr(F.lit(len("http://h") + 1), F.length(path))
+    return rules.groupBy("host").agg(
+        F.collect_set(_wildcard_pattern(path) if wildcards else path).alias("_paths"),
+        F.collect_set(F.when(rooted, start)).alias("_starts"),
+        F.collect_set(F.when(~rooted, path)).alias("_odd"),
+    )
 
 
 def _wildcard_pattern(path: Column) -> Column:
@@ -114,8 +124,11 @@ def robots_allowed(
         target = urls.path_and_query(F.col("url"))
         hit = F.exists("_paths", lambda pattern: F.regexp_like(target, pattern))
     elif match == "prefix":
-        url = F.col("url")
-        hit = F.exists("_paths", lambda path: F.startswith(url, urls.resolve(url, path)))
+        url, target = F.col("url"), F.col("_target")
+        joined = joined.withColumn("_target", urls.after_host(url))
+        hit = F.exists("_starts", lambda start: F.startswith(target, start)) | F.exists(
+            "_odd", lambda path: F.startswith(url, urls.resolve(url, path))
+        )
     else:
         raise ValueError("match must be 'prefix' or 'exact'")
     return joined.where(~F.coalesce(hit, F.lit(False))).select(*links.columns)

@@ -42,8 +42,11 @@ def index_stream(
 
     def add(batch: DataFrame, batch_id: int) -> None:
         tokens = normalize(batch, stem)
+        # Only postings in the batch's range of documents can repeat; the bounds reach the parquet
+        # scan, which skips the files of all other documents.
+        low, high = batch.agg(F.min("doc_id"), F.max("doc_id")).first()
         known = read_streamed_postings(batch.sparkSession, index_path, doc_type).where(
-            F.col("batch") != batch_id
+            (F.col("batch") != batch_id) & F.col("doc_id").between(low, high)
         )
         fresh = append_postings(known, tokens)
         fresh.write.mode("overwrite").parquet(f"{index_path}/batch={batch_id}")
