@@ -150,7 +150,13 @@ def boolean_query(
     frequent = hot_keys(
         dictionary, ["term"], skew_options.pop("min_rows", 500_000), weight="df"
     )
-    candidates = join_skewed(postings_table, per_query, ["term"], hot=frequent, **skew_options)
+    # Only postings of terms that are asked for go any further. Spark broadcasts the terms while
+    # they are few.
+    asked = terms.select("term").distinct()
+    relevant = join_skewed(
+        postings_table, asked, ["term"], "left_semi", hot=frequent, **skew_options
+    )
+    candidates = join_skewed(relevant, per_query, ["term"], hot=frequent, **skew_options)
     wanted = candidates.select(
         "query_id",
         "doc_id",
@@ -158,7 +164,7 @@ def boolean_query(
         F.explode_outer("terms").alias("term"),
     )
     return (
-        wanted.join(postings_table, ["doc_id", "term"], "left_semi")
+        wanted.join(relevant, ["doc_id", "term"], "left_semi")
         .groupBy("query_id", "doc_id", "n_terms")
         .agg(F.count(F.lit(1)).alias("hits"))
         .where(F.col("hits") == F.col("n_terms"))
