@@ -82,7 +82,7 @@ def clean_text(spark, sf_dir):
     return documents(spark, sf_dir).select("doc_id", cleaned)
 
 
-@query("index_tokens", oracle("SELECT doc_id, pos, term FROM tokens", "tokens"))
+@query("index_tokens", oracle("SELECT doc_id, pos::INTEGER AS pos, term FROM tokens", "tokens"))
 def index_tokens(spark, sf_dir):
     return index.index_tokens(documents(spark, sf_dir))
 
@@ -111,7 +111,8 @@ def doc_frequency(spark, sf_dir):
     "build_index",
     oracle(
         """
-SELECT term, doc_id // 256 AS block, count(*) AS n, string_agg(doc_id, ' ' ORDER BY doc_id) AS doc_ids
+SELECT term, doc_id // 256 AS block, count(*)::INTEGER AS n,
+  string_agg(doc_id, ' ' ORDER BY doc_id) AS doc_ids
 FROM postings GROUP BY ALL""",
         "postings",
     ),

@@ -260,7 +260,7 @@ GROUP BY "user", item""",
 @query(
     "content_topk",
     oracle(
-        """SELECT "user", rank, item, round(score, 6) AS score, category[1] AS kind FROM (
+        """SELECT "user", rank::INTEGER AS rank, item, round(score, 6) AS score, category[1] AS kind FROM (
   SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item) AS rank FROM scores)
 JOIN items USING (item) WHERE rank <= 2""",
         "scores",
