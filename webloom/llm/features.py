@@ -70,6 +70,30 @@ class Rows:
         return np.bincount(self.numbers, weights=self.values * slope[self.row], minlength=size)
 
 
+# Documents that a feature must stand in, and how many standard errors its share must differ between
+# the documents with and without a label, to be learnt from.
+LEAST_ROWS = 8
+LEAST_Z = 5.0
+
+
+def telling(rows: Rows, marked: np.ndarray, size: int) -> np.ndarray:
+    """Which features say something about a label. Words that are in a few documents only, as most of
+    a large vocabulary are, would be learnt by heart."""
+    ones, others = max(1, int(marked.sum())), max(1, int((~marked).sum()))
+    there = np.bincount(rows.numbers[marked[rows.row]], minlength=size)
+    elsewhere = np.bincount(rows.numbers[~marked[rows.row]], minlength=size)
+    pooled = (there + elsewhere) / (ones + others)
+    error = np.sqrt(np.maximum(pooled * (1 - pooled), 1e-12) * (1 / ones + 1 / others))
+    z = np.abs(there / ones - elsewhere / others) / error
+    return (z >= LEAST_Z) & (there + elsewhere >= LEAST_ROWS)
+
+
+def only(rows: Rows, features: np.ndarray) -> Rows:
+    """The rows with a choice of features."""
+    keep = features[rows.numbers]
+    return Rows(rows.numbers[keep], rows.values[keep], rows.row[keep], rows.n)
+
+
 def sampled_rows(sample: DataFrame, bits: int, columns: list[str]) -> tuple[Rows, pd.DataFrame]:
     """The sparse rows of a bounded sample of texts, computed in tasks, and its other columns."""
 
@@ -100,7 +124,7 @@ def adam(start: np.ndarray, gradient, steps: int, rate: float) -> np.ndarray:
     return at
 
 
-def fit_softmax(rows: Rows, label: np.ndarray, weight: np.ndarray, classes: int, size: int, steps: int = 60, l2: float = 1e-5) -> np.ndarray:
+def fit_softmax(rows: Rows, label: np.ndarray, weight: np.ndarray, classes: int, size: int, steps: int = 200, l2: float = 1e-5) -> np.ndarray:
     """Multinomial logistic regression: ``(classes, size + 1)`` weights, the last one the intercept."""
     target = np.eye(classes)[label] if len(label) else np.zeros((0, classes))
     share = weight / max(weight.sum(), 1e-12)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webloom.llm.common import bounded_sample, map_batches, shared_table, unit_hash
-from webloom.llm.features import fit_softmax, sampled_rows, softmax, text_features
+from webloom.llm.features import STATISTICS, fit_softmax, only, sampled_rows, softmax, telling, text_features
 
 BITS = 16
 SIZE = (1 << BITS) + 2
@@ -48,6 +48,9 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> C
     rows, table = sampled_rows(texts.select("doc_id", "text", "domain", "share"), BITS, ["domain", "share"])
     names = list(TARGETS)
     label = table["domain"].map({d: i for i, d in enumerate(names)}).to_numpy(dtype=np.int64)
+    tells = np.any([telling(rows, label == i, SIZE) for i in range(len(names))], axis=0)
+    tells[-STATISTICS:] = True
+    rows = only(rows, tells)
     weight = 1.0 / table["share"].to_numpy(dtype=np.float64)
     return Classifier(names, fit_softmax(rows, label, weight, len(names), SIZE))
 

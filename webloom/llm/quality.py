@@ -212,7 +212,7 @@ def train(table: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) ->
 
 def judge(docs: DataFrame, labels: DataFrame, least: float = 0.5, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """``(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept,
-    quality)`` for every row of ``docs``; ``quality`` is the trees' probability of a good document.
+    p_good)`` for every row of ``docs``; ``p_good`` is the trees' probability of a good document.
 
     The base rules fail a document of fewer than 20 words, or with over 30 % of its words in repeated
     windows. Others are kept if the trees find them good with a probability of ``least``. Null and
@@ -229,11 +229,11 @@ def judge(docs: DataFrame, labels: DataFrame, least: float = 0.5, train_rows: in
     failed = (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words")
     )
-    scored = map_batches(table.withColumn("x", features()), ["doc_id", *base], "quality double", score)
+    scored = map_batches(table.withColumn("x", features()), ["doc_id", *base], "p_good double", score)
     return scored.select(
         "doc_id",
         *base,
         failed.alias("base_failed"),
-        (~failed & (F.col("quality") >= least)).alias("kept"),
-        F.round("quality", 9).alias("quality"),
+        (~failed & (F.col("p_good") >= least)).alias("kept"),
+        F.round("p_good", 9).alias("p_good"),
     )

@@ -10,15 +10,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webloom.llm.common import bounded_sample, map_batches
-from webloom.llm.features import Rows, adam, sampled_rows, sigmoid, text_features
+from webloom.llm.features import Rows, adam, only, sampled_rows, sigmoid, telling, text_features
 
 BITS = 18
 SIZE = (1 << BITS) + 2
 # Documents of each label that the model learns from (about; all, if there are fewer).
 TRAIN_ROWS = 4000
-# Grades: none, and three of rising share of toxic words.
+# Grades: none, and three of ever more toxic words.
 GRADES = 4
-STEPS = 120
+STEPS = 300
+RATE = 0.1
 L2 = 2e-6
 
 
@@ -53,39 +54,35 @@ def fit_ordinal(
         theta = thresholds(at[size:])
         score = rows.times(at[:size])
         edge = np.concatenate([[-np.inf], theta, [np.inf]])
-        with np.errstate(invalid="ignore"):
-            high, low = sigmoid(edge[grade + 1] - score), sigmoid(edge[grade] - score)
-        p = np.maximum(high - low, 1e-9)
-        d_high, d_low = high * (1 - high) / p * share, low * (1 - low) / p * share
-        g_theta = np.array(
-            [d_low[grade == k + 1].sum() - d_high[grade == k].sum() for k in range(grades - 1)]
-        )
+        high, low = edge[grade + 1] - score, edge[grade] - score
+        # With p = sigmoid(high) - sigmoid(low) = sigmoid(high) sigmoid(-low) (1 - exp(low - high)), the
+        # slopes of -log p stay finite and do not vanish however wrong a score is.
+        gap = np.concatenate([[0.0], 1 / np.expm1(np.diff(theta)), [0.0]])[grade]
+        up, down = share * (sigmoid(-high) + gap), share * (sigmoid(low) + gap)
+        g_theta = np.array([down[grade == k + 1].sum() - up[grade == k].sum() for k in range(grades - 1)])
         g = np.empty_like(at)
-        g[:size] = rows.back(d_high - d_low, size) + l2 * at[:size]
+        g[:size] = rows.back(up - down, size) + l2 * at[:size]
         below = np.cumsum(g_theta[::-1])[::-1]
         g[size] = below[0]
         g[size + 1 :] = below[1:] * np.exp(at[size + 1 :])
         return g
 
-    best = adam(start, gradient, steps, 0.15) if rows.n else start
+    best = adam(start, gradient, steps, RATE) if rows.n else start
     return Ordinal(best[:size], thresholds(best[size:]))
 
 
-def grade_toxic(rows: Rows, toxic: np.ndarray, grades: int, size: int) -> np.ndarray:
-    """Grades of labelled documents: 0 without the label; with it 1 and up, by the share of telling
-    features among a document's features, cut at equal parts of the labelled documents. A feature is
-    telling if it stands in several toxic documents and hardly ever in others."""
-    seen = rows.back(toxic.astype(np.float64) / np.maximum(1, toxic.sum()), size)
-    other = rows.back((~toxic).astype(np.float64) / np.maximum(1, (~toxic).sum()), size)
-    counted = np.bincount(rows.numbers[toxic[rows.row]], minlength=size)
-    telling = (counted >= 5) & (seen > 20 * other)
-    telling[size - 2 :] = False
-    mass = np.bincount(rows.row, weights=rows.values * telling[rows.numbers], minlength=rows.n)
-    share = mass / np.maximum(np.bincount(rows.row, weights=rows.values, minlength=rows.n), 1e-9)
+def grade_toxic(rows: Rows, toxic: np.ndarray, grades: int) -> np.ndarray:
+    """Grades of labelled documents: 0 without the label; with it 1 and up, by how much of the telling
+    features the document holds, cut at equal parts of the labelled documents."""
     if not toxic.any():
         return np.zeros(rows.n, dtype=np.int64)
-    cuts = np.quantile(share[toxic], np.arange(1, grades - 1) / (grades - 1))
-    return np.where(toxic, 1 + np.searchsorted(cuts, share, side="left"), 0)
+    tells = telling(rows, toxic, SIZE)
+    seen = np.bincount(rows.numbers[toxic[rows.row]], minlength=SIZE) / toxic.sum()
+    other = np.bincount(rows.numbers[~toxic[rows.row]], minlength=SIZE) / max(1, (~toxic).sum())
+    bad = tells & (seen > 10 * other)
+    mass = np.bincount(rows.row, weights=rows.values * bad[rows.numbers], minlength=rows.n)
+    cuts = np.quantile(mass[toxic], np.arange(1, grades - 1) / (grades - 1))
+    return np.where(toxic, 1 + np.searchsorted(cuts, mass, side="left"), 0)
 
 
 def train(docs: DataFrame, labels: DataFrame, grades: int = GRADES, train_rows: int = TRAIN_ROWS) -> Ordinal:
@@ -97,7 +94,8 @@ def train(docs: DataFrame, labels: DataFrame, grades: int = GRADES, train_rows:
     texts = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(sample, "doc_id")
     rows, table = sampled_rows(texts.select("doc_id", "text", "toxic", "share"), BITS, ["toxic", "share"])
     toxic = table["toxic"].to_numpy(dtype=np.int64) > 0
-    grade = grade_toxic(rows, toxic, grades, SIZE)
+    grade = grade_toxic(rows, toxic, grades)
+    rows = only(rows, telling(rows, toxic, SIZE))
     return fit_ordinal(rows, grade, 1.0 / table["share"].to_numpy(dtype=np.float64), grades, SIZE)
 
 
