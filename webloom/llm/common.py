@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import fields
 from uuid import uuid4
 
 import numpy as np
@@ -113,6 +114,11 @@ def keep_rows(df: DataFrame, column: str, test: Callable[[list], list[bool]]) ->
     return df.mapInArrow(run, df.schema)
 
 
+def plain(made) -> tuple:
+    """The fields of a dataclass, for a broadcast: workers unpickle those without this package."""
+    return tuple(getattr(made, f.name) for f in fields(made))
+
+
 def lists_of(batch: pa.RecordBatch, column: str) -> list[np.ndarray]:
     """The cells of a list column without nulls, as arrays that share one buffer."""
     values = batch.column(column)

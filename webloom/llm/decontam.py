@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm.common import keep_rows, map_batches
+from webloom.llm.common import keep_rows, map_batches, plain
 
 WINDOW_WORDS = 10
 # Words of benchmark text that are searched for in one pass over the documents. Larger benchmarks
@@ -179,7 +179,12 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, boun
 
 def _tables(spark: SparkSession, items: list[tuple[str, list[bytes]]], window: int):
     """Item ids, word numbers and pattern tables of one pass; at most PASS_WORDS words."""
-    return spark.sparkContext.broadcast(([i for i, _ in items], *build_tables([w for _, w in items], window)))
+    number, tables = build_tables([w for _, w in items], window)
+    return spark.sparkContext.broadcast(([i for i, _ in items], number, [plain(t) for t in tables]))
+
+
+def _known(value: tuple) -> tuple[list[str], dict[bytes, int], list[Table]]:
+    return value[0], value[1], [Table(*t) for t in value[2]]
 
 
 def _one_pass(source: DataFrame, items: list[tuple[str, list[bytes]]], window: int, more: bool) -> DataFrame:
@@ -187,7 +192,7 @@ def _one_pass(source: DataFrame, items: list[tuple[str, list[bytes]]], window: i
     shared = _tables(source.sparkSession, items, window)
 
     def search(batch: pa.RecordBatch) -> list:
-        names, number, tables = shared.value
+        names, number, tables = _known(shared.value)
         counts, spans, found = [], [], []
         for text in batch.column("text").to_pylist():
             words = [] if text is None else words_of(text)
@@ -242,7 +247,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def _without(docs: DataFrame, shared) -> DataFrame:
     def clean(texts: list[str | None]) -> list[bool]:
-        _, number, tables = shared.value
+        _, number, tables = _known(shared.value)
         return [text is None or not find(words_of(text), number, tables)[1] for text in texts]
 
     return keep_rows(docs, "text", clean)

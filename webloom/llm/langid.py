@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webloom.llm.common import MAX_LABELS, bounded_sample, keep_rows, map_batches
+from webloom.llm.common import MAX_LABELS, bounded_sample, keep_rows, map_batches, plain
 
 ORDERS = (1, 2, 3)
 BITS = 13
@@ -104,10 +104,11 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     probability; ``und`` and 0 for a text that is null or has no letter, or if nothing was learnt.
     Equal probabilities fall to the language first in the alphabet."""
     # Buckets times languages, both bounded.
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(plain(model))
 
     def score(batch: pa.RecordBatch) -> list:
-        found = [guess(text, shared.value) for text in batch.column("text").to_pylist()]
+        known = Model(*shared.value)
+        found = [guess(text, known) for text in batch.column("text").to_pylist()]
         return [[f[0] for f in found], [f[1] for f in found]]
 
     return map_batches(docs.select("doc_id", "text"), ["doc_id"], "lang_pred string, score double", score)
@@ -131,10 +132,11 @@ def identify(docs: DataFrame) -> DataFrame:
 def with_language(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose language is found with a probability of ``least_score``, in their
     columns. The rest, texts without a letter above all, goes."""
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs))  # of bounded size, as above
+    shared = docs.sparkSession.sparkContext.broadcast(plain(fit(docs)))  # of bounded size, as above
 
     def found(texts: list[str | None]) -> list[bool]:
-        guesses = [guess(text, shared.value) for text in texts]
+        known = Model(*shared.value)
+        guesses = [guess(text, known) for text in texts]
         return [lang != UNKNOWN and score >= least_score for lang, score in guesses]
 
     return keep_rows(docs, "text", found)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webloom.llm.common import bounded_sample, map_batches, shared_table
+from webloom.llm.common import bounded_sample, map_batches, plain, shared_table
 from webloom.llm.features import SYMBOLS, sigmoid
 
 WINDOW = 8
@@ -219,11 +219,11 @@ def judge(docs: DataFrame, labels: DataFrame, least: float = 0.5, train_rows: in
     empty texts have no words and fail. Without labels the trees find everything even and keep it.
     """
     table = shared_table(base_table(docs))
-    shared = docs.sparkSession.sparkContext.broadcast(train(table, labels, train_rows))
+    shared = docs.sparkSession.sparkContext.broadcast(plain(train(table, labels, train_rows)))
 
     def score(batch: pa.RecordBatch) -> list:
         x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
-        return [shared.value.score(x)]
+        return [Forest(*shared.value).score(x)]
 
     base = [f.split()[0] for f in BASE.split(", ")]
     failed = (F.col("n_words") < LEAST_WORDS) | (
