@@ -98,11 +98,12 @@ def build(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> Archive:
         F.col("response_id").alias("page_id"), "digest", "n"
     )
     bodies = pages.select("page_id", payload.alias("payload")).withColumn("digest", F.sha2("payload", 256))
-    stored = bodies.join(keep, ["page_id", "digest"])
+    # Rows that repeat an id and a payload lie together after the join, so this takes no shuffle.
+    stored = bodies.join(keep, ["page_id", "digest"]).dropDuplicates(["page_id", "digest"])
     # Payloads that only rows without an id have.
     nameless = owners.where(F.col("response_id").isNull()).select("digest", "n")
-    rest = bodies.where(F.col("page_id").isNull()).join(nameless, "digest")
-    payloads = stored.unionByName(rest).dropDuplicates(["digest"]).select("digest", "payload", "n")
+    rest = bodies.where(F.col("page_id").isNull()).dropDuplicates(["digest"]).join(nameless, "digest")
+    payloads = stored.unionByName(rest).select("digest", "payload", "n")
     return Archive(records, payloads)
 
 
