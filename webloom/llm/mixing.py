@@ -103,7 +103,7 @@ def fit_rates(
     A gradient step moves a rate by the document's p times the residuals, scaled by the inverse of the
     tokens' second moments, which makes a step of size one exact while no rate meets a bound. As a rate
     follows from p and the steps taken, no rates are stored. A step that does not lower the distance
-    is halved, one that does doubles the next up to eight; steps that hardly help any more end the fit.
+    is halved, one that does doubles the next up to eight; once a plain step hardly helps, the fit ends.
     """
     d = len(targets)
     tokens, p = F.col("tokens"), F.col("p")
@@ -132,9 +132,9 @@ def fit_rates(
         if gain <= 0:
             size /= 2
             continue
-        steps, residual, size = tried, new, min(8.0, 2 * size)
-        if gain < 1e-3:
+        if gain < 1e-3 and size <= 1:
             break
+        steps, residual, size = tried, new, 1.0 if gain < 1e-3 else min(8.0, 2 * size)
     return steps, residual.tolist()
 
 

@@ -42,7 +42,7 @@ def fit_ordinal(
     """Minimise the negative log likelihood by full-batch steps. The thresholds are the first one and
     the logarithms of the gaps to the next, so they stay in order."""
     share = weight / max(weight.sum(), 1e-12)
-    present = np.array([share[grade > k].sum() for k in range(grades - 1)]) if len(grade) else np.full(grades - 1, 0.5)
+    present = np.array([share[grade > k].sum() for k in range(grades - 1)])
     odds = np.log((1 - present + 1e-3) / (present + 1e-3))
     gaps = np.maximum(np.diff(odds), 0.1)
     start = np.concatenate([np.zeros(size), odds[:1], np.log(gaps)])
@@ -127,5 +127,6 @@ def severity(docs: DataFrame, model: Ordinal) -> DataFrame:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Severity of every row of ``docs`` by a model learnt from the labelled ones."""
+    """Severity of every row of ``docs`` by a model learnt from the labelled ones; without labels
+    nothing is toxic."""
     return severity(docs, train(docs, labels))
