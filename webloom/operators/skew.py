@@ -10,12 +10,11 @@ from pyspark.sql import types as T
 
 from webloom.session import cut_lineage
 
-# A key is hot from this many rows on.
+# Rows of a hot key that stay together; a key is hot if it has more.
 HOT_ROWS = 500_000
-# At most this many keys are treated as hot, so the broadcast list has a fixed bound.
-MAX_HOT_KEYS = 256
-# Parts a hot key is split into.
-SALTS = 32
+# At most this many keys are treated as hot, so the broadcast list has a fixed bound. What comes
+# after them holds less than a ten-thousandth of all rows each.
+MAX_HOT_KEYS = 10_000
 SALT = "_salt"
 
 
@@ -25,7 +24,8 @@ def hot_keys(
     min_rows: int = HOT_ROWS,
     weight: str | None = None,
 ) -> DataFrame:
-    """The most frequent keys of ``df``: at most ``MAX_HOT_KEYS`` rows, found by a top-k.
+    """The most frequent keys of ``df``, each with the number of parts it is to be split into, one for
+    every ``min_rows`` of its rows: at most ``MAX_HOT_KEYS`` rows, found by a top-k.
 
     ``weight`` names a column that already holds the number of rows of each key, which saves the
     count. Keys beyond the list cannot be large: each holds less than 1/``MAX_HOT_KEYS`` of all rows.
@@ -36,10 +36,10 @@ def hot_keys(
         else df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
     )
     return (
-        counted.where(F.col("_n") >= min_rows)
+        counted.where(F.col("_n") > min_rows)
         .orderBy(F.desc("_n"), *on)
         .limit(MAX_HOT_KEYS)
-        .select(*on, F.lit(True).alias("_hot"))
+        .select(*on, F.ceil(F.col("_n") / F.lit(min_rows)).cast("int").alias("_parts"))
     )
 
 
@@ -50,13 +50,13 @@ def join_skewed(
     how: str = "inner",
     hot: DataFrame | None = None,
     min_rows: int = HOT_ROWS,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Equi join whose left side may be skewed and whose right side has few rows for each key.
 
-    Rows of hot keys are spread over ``salts`` parts by a hash of their exact columns, which a
+    Rows of hot keys are spread over the key's parts by a hash of their exact columns, which a
     retried task computes again in the same way; the matching rows on the right are repeated once
-    for each part. All other keys join as usual. ``how`` may be inner, left, left_semi or left_anti.
+    for each part. Rows whose key is null match nothing and are spread as well. All other keys join
+    as usual. ``how`` may be inner, left, left_semi or left_anti.
 
     Without ``hot`` the keys of ``big`` are counted first, so ``big`` should be a table and not a
     costly pipeline.
@@ -64,25 +64,29 @@ def join_skewed(
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join_skewed cannot do a {how!r} join")
     hot = hot if hot is not None else hot_keys(big, on, min_rows)
-    left, right = salted(big, on, hot, salts), salted_match(small, on, hot, salts)
+    left, right = salted(big, on, hot), salted_match(small, on, hot)
     return left.join(right, [*on, SALT], how).drop(SALT)
 
 
-def salted(big: DataFrame, on: list[str], hot: DataFrame, salts: int = SALTS) -> DataFrame:
+def salted(big: DataFrame, on: list[str], hot: DataFrame) -> DataFrame:
     """The skewed side of a salted join: ``big`` with its part number."""
-    spread = F.pmod(F.xxhash64(*_exact_columns(big, on)), F.lit(salts)).cast("int")
+    spread = F.xxhash64(*_exact_columns(big, on))
+    no_key = reduce(Column.__or__, [F.col(c).isNull() for c in on])
     # The list of hot keys has at most MAX_HOT_KEYS rows.
     marked = big.join(F.broadcast(hot), on, "left")
-    return marked.withColumn(SALT, F.when(F.col("_hot"), spread).otherwise(F.lit(0))).drop("_hot")
+    part = (
+        F.when(no_key, F.pmod(spread, F.lit(1 << 30)))
+        .when(F.col("_parts").isNotNull(), F.pmod(spread, F.col("_parts")))
+        .otherwise(F.lit(0))
+    )
+    return marked.withColumn(SALT, part.cast("int")).drop("_parts")
 
 
-def salted_match(small: DataFrame, on: list[str], hot: DataFrame, salts: int = SALTS) -> DataFrame:
+def salted_match(small: DataFrame, on: list[str], hot: DataFrame) -> DataFrame:
     """The other side: rows of hot keys once for each part."""
-    parts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
-    )
+    last = F.coalesce(F.col("_parts"), F.lit(1)) - F.lit(1)
     marked = small.join(F.broadcast(hot), on, "left")
-    return marked.withColumn(SALT, F.explode_outer(parts)).drop("_hot")
+    return marked.withColumn(SALT, F.explode_outer(F.sequence(F.lit(0), last))).drop("_parts")
 
 
 def _exact_columns(df: DataFrame, on: list[str]) -> list[str]:

@@ -62,9 +62,12 @@ def postings_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.postings(index.normalize(documents(spark, sf_dir)))
 
 
-def stored_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The written index that searches read."""
-    return cut_lineage(postings_table(spark, sf_dir))
+def asked_postings(spark: SparkSession, sf_dir: str, terms: DataFrame) -> DataFrame:
+    """The postings of the terms of a batch of searches. Tokens nobody asks for go before any
+    shuffle, so the index of the whole corpus is neither built nor written."""
+    asked = terms.select("term").distinct()
+    tokens = index.normalize(documents(spark, sf_dir)).join(asked, "term", "left_semi")
+    return cut_lineage(index.postings(tokens))
 
 
 @query(
@@ -156,17 +159,21 @@ GROUP BY query_id, doc_id, n_terms HAVING count(*) = n_terms""",
 def boolean_query(spark, sf_dir):
     """Every ``benchmark`` passage as a conjunctive query over ``documents``."""
     questions = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    return index.boolean_query(index.query_terms(questions), stored_postings(spark, sf_dir))
+    terms = index.query_terms(questions)
+    return index.boolean_query(terms, asked_postings(spark, sf_dir, terms))
 
 
 @query(
     "postings_intersect",
     oracle(
         """
-SELECT pair_id, a.doc_id
-FROM (SELECT query_id AS pair_id, min(term) AS term1, max(term) AS term2
-      FROM questions GROUP BY query_id) p
-JOIN postings a ON a.term = term1 JOIN postings b ON b.term = term2 AND b.doc_id = a.doc_id""",
+SELECT pair_id, doc_id
+FROM (SELECT pair_id, term, count(*) OVER (PARTITION BY pair_id) AS n_terms
+      FROM (SELECT DISTINCT pair_id, unnest([term1, term2]) AS term
+            FROM (SELECT query_id AS pair_id, min(term) AS term1, max(term) AS term2
+                  FROM questions GROUP BY query_id)))
+JOIN postings USING (term)
+GROUP BY pair_id, doc_id, n_terms HAVING count(*) = n_terms""",
         "questions",
         "postings",
     ),
@@ -174,9 +181,9 @@ JOIN postings a ON a.term = term1 JOIN postings b ON b.term = term2 AND b.doc_id
 def postings_intersect(spark, sf_dir):
     """First and last term of every ``benchmark`` passage."""
     questions = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    terms = index.query_terms(questions)
     pairs = (
-        index.query_terms(questions)
-        .groupBy(F.col("query_id").alias("pair_id"))
+        terms.groupBy(F.col("query_id").alias("pair_id"))
         .agg(F.min("term").alias("term1"), F.max("term").alias("term2"))
     )
-    return index.intersect_terms(pairs, stored_postings(spark, sf_dir))
+    return index.intersect_terms(pairs, asked_postings(spark, sf_dir, terms))
