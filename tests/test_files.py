@@ -41,6 +41,20 @@ def test_documents_by_extension(spark, folder):
     assert names(rows(rejected)) == {"f.xlsx": "unsupported file type: xlsx", "e.docx": "not a Word file"}
 
 
+def test_malformed_json_is_quarantined(spark, tmp_path):
+    (tmp_path / "good.json").write_text(json.dumps({"url": "u", "text": "fine"}))
+    (tmp_path / "bad.json").write_text('{"url": "u", "text": ')
+    documents, rejected = files.load_documents(spark, str(tmp_path))
+    assert [r.text for r in documents.collect()] == ["fine"]
+    assert [(r.path.rsplit("/")[-1], r.reason) for r in rejected.collect()] == [("bad.json", "malformed JSON")]
+
+
+def test_frequency_export(spark, tmp_path):
+    dictionary = spark.createDataFrame([("a", 3), ("b", 1)], "term string, df bigint")
+    sinks.export_frequency(dictionary, str(tmp_path / "df"))
+    assert rows(spark.read.json(str(tmp_path / "df")), "term", "df") == [("a", 3), ("b", 1)]
+
+
 def test_missing_path_is_an_error(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         files.load_documents(spark, str(tmp_path / "nothing"))[0].collect()

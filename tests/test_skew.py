@@ -3,7 +3,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from webloom.operators.skew import hot_keys, join_skewed, numbered
+from webloom.operators.skew import hot_keys, join_skewed, numbered, salted
 
 
 @pytest.fixture(scope="module")
@@ -74,3 +74,13 @@ def test_numbered_splits_equal_values(big):
 
 def test_numbered_empty(big):
     assert numbered(big.where("n < 0"), ["n"], "no", ["key"]).collect() == []
+
+
+def test_null_and_hot_keys_are_split(spark):
+    """No part holds more than twice the target, with 60 % of null keys or one key of many targets."""
+    nulls = spark.range(3000).select(F.when(F.col("id") % 10 < 4, F.col("id") % 7).alias("key"), "id")
+    spread = salted(nulls, ["key"], hot_keys(nulls, ["key"], 10_000))
+    assert spread.where("key IS NULL").groupBy("_salt").count().agg(F.max("count")).first()[0] <= 2
+    one = spark.range(5000).select(F.lit("k").alias("key"), "id")
+    parts = salted(one, ["key"], hot_keys(one, ["key"], 50)).groupBy("_salt").count()
+    assert parts.count() > 90 and parts.agg(F.max("count")).first()[0] <= 100

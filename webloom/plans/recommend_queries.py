@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webloom.functions import text as text_fn
@@ -10,7 +13,8 @@ from webloom.operators import factorize as fz
 from webloom.operators import profiles as pf
 from webloom.operators.skew import join_skewed
 from webloom.plans import bindings as b
-from webloom.plans.registry import oracle, part, query
+from webloom.plans.registry import PARTS, oracle, part, query
+from webloom.session import cut_lineage
 
 # --- ratings ---------------------------------------------------------------------------------
 
@@ -357,6 +361,17 @@ step_part("wide", 1, "matrix", 0.001, 0.1, clip=1000.0)
 part("train", "SELECT * FROM splits WHERE split = 'train'", "splits")
 factor_parts("fitted", "splits", 0.1)
 step_part("fitted", 1, "train", 0.01, 0.01)
+# Two epochs of two batches over the training ratings.
+factor_parts("mini", "splits", 0.1)
+for step in range(4):
+    part(
+        f"batch{step}",
+        f"SELECT * FROM train WHERE (user_id * 31 + item_id * 17 + {7 * (step // 2)}) % 2 = {step % 2}",
+        "train",
+        "mini0",
+    )
+    step_part("mini", step + 1, f"batch{step}", 0.001, 0.1, clip=5.0)
+    PARTS[f"mini{step + 1}"] = ((f"mini{step}", f"batch{step}"), PARTS[f"mini{step + 1}"][1])
 
 
 def rounded(factors):
@@ -369,7 +384,7 @@ ROUNDED = "SELECT side, id, round(f0, 6) AS f0, round(f1, 6) AS f1 FROM "
 
 @query("mf_bgd_step", oracle(ROUNDED + "factors1", "factors1"))
 def mf_bgd_step(spark, sf_dir):
-    ratings = b.matrix(spark, sf_dir)
+    ratings = cut_lineage(b.matrix(spark, sf_dir))
     return rounded(fz.gradient_step(ratings, fz.start_factors(ratings, 2), 0.01, 0.01))
 
 
@@ -381,7 +396,7 @@ def mf_bgd_3(spark, sf_dir):
 @query("mf_clip_step", oracle(ROUNDED + "wide1", "wide1"))
 def mf_clip_step(spark, sf_dir):
     """Start factors so large that the clipping of single gradients takes hold."""
-    ratings = b.matrix(spark, sf_dir)
+    ratings = cut_lineage(b.matrix(spark, sf_dir))
     start = fz.start_factors(ratings, 2, scale=20.0)
     return rounded(fz.gradient_step(ratings, start, 0.001, 0.1, clip_at=1000.0))
 
@@ -406,7 +421,7 @@ part(
     ),
 )
 def mf_predict(spark, sf_dir):
-    ratings = b.matrix(spark, sf_dir)
+    ratings = cut_lineage(b.matrix(spark, sf_dir))
     factors = fz.gradient_step(ratings, fz.start_factors(ratings, 2), 0.01, 0.01)
     predicted = fz.predict(ratings, factors)
     return predicted.withColumn("prediction", F.round("prediction", 6))
@@ -421,7 +436,7 @@ FROM predicted""",
     ),
 )
 def mf_error(spark, sf_dir):
-    ratings = b.matrix(spark, sf_dir)
+    ratings = cut_lineage(b.matrix(spark, sf_dir))
     factors = fz.gradient_step(ratings, fz.start_factors(ratings, 2), 0.01, 0.01)
     error = fz.squared_error(fz.predict(ratings, factors))
     return error.select(F.round("squared_error", 3).alias("squared_error"))
@@ -438,7 +453,7 @@ FROM split_predicted GROUP BY split""",
 )
 def mf_metrics(spark, sf_dir):
     """One step on the training ratings, measured on both parts."""
-    ratings = fz.train_test(b.matrix(spark, sf_dir))
+    ratings = cut_lineage(fz.train_test(b.matrix(spark, sf_dir)))
     train = ratings.where(F.col("split") == "train")
     factors = fz.gradient_step(train, fz.start_factors(ratings, 2), 0.01, 0.01)
     measured = fz.metrics(fz.predict(ratings, factors))
@@ -447,6 +462,61 @@ def mf_metrics(spark, sf_dir):
     )
 
 
+def trained(spark, sf_dir, epochs, report=None):
+    ratings = cut_lineage(fz.train_test(b.matrix(spark, sf_dir)))
+    factors = fz.minibatch_descent(
+        ratings,
+        k=2,
+        epochs=epochs,
+        batches=2,
+        clip_at=5.0,
+        train=F.col("split") == "train",
+        report=report and (lambda epoch, factors: report(epoch, ratings, factors)),
+        report_every=1,
+    )
+    return factors
+
+
+@query("mf_minibatch", oracle(ROUNDED + "mini4", "mini4"))
+def mf_minibatch(spark, sf_dir):
+    """Two epochs of clipped mini-batch descent on the training ratings."""
+    return rounded(trained(spark, sf_dir, 2))
+
+
+EPOCH_METRICS = """SELECT {epoch} AS epoch, split, count(*) AS n, round(avg(abs(e)), 6) AS mae,
+  round(sqrt(avg(e * e)), 6) AS rmse
+FROM (SELECT split, rating - (a.f0 * b.f0 + a.f1 * b.f1) AS e FROM splits
+  JOIN {factors} a ON a.side = 'u' AND a.id = user_id
+  JOIN {factors} b ON b.side = 'i' AND b.id = item_id) GROUP BY split"""
+
+
+@query(
+    "mf_epochs",
+    oracle(
+        " UNION ALL ".join(EPOCH_METRICS.format(epoch=e, factors=f"mini{2 * e + 2}") for e in (0, 1)),
+        "mini4",
+    ),
+)
+def mf_epochs(spark, sf_dir):
+    """The training recipe: errors of both parts of the ratings after each epoch."""
+    seen = []
+
+    def report(epoch, ratings, factors):
+        measured = fz.metrics(fz.predict(ratings, factors))
+        seen.append(
+            measured.select(
+                F.lit(epoch).alias("epoch"),
+                "split",
+                "n",
+                F.round("mae", 6).alias("mae"),
+                F.round("rmse", 6).alias("rmse"),
+            )
+        )
+
+    trained(spark, sf_dir, 2, report)
+    return reduce(DataFrame.unionByName, seen)
+
+
 @query("mf_dsgd")
 def mf_dsgd(spark, sf_dir):
     """One epoch of stochastic descent in four strata, with clipping."""

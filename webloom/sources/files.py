@@ -70,7 +70,9 @@ def load_documents(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     listing = spark.read.format("binaryFile").load(path).select("path")
     extension = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
     text = read_text_files(spark, path, "*.[tT][xX][tT]")
-    json = read_json_files(spark, path, glob="*.[jJ][sS][oO][nN]").select("path", "text")
+    marked = f"{DOCUMENT_SCHEMA}, _corrupt_record string"
+    parsed = read_json_files(spark, path, marked, glob="*.[jJ][sS][oO][nN]")
+    json = parsed.where(F.col("_corrupt_record").isNull()).select("path", "text")
     word = read_word_files(spark, path, "*.[dD][oO][cC][xX]")
     documents = text.unionByName(json).unionByName(word.where(F.col("text").isNotNull()))
     unsupported = listing.where(~extension.isin("txt", "json", "docx")).select(
@@ -79,7 +81,11 @@ def load_documents(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     broken = word.where(F.col("text").isNull()).select(
         "path", F.lit("not a Word file").alias("reason")
     )
-    return documents, unsupported.unionByName(broken)
+    malformed = parsed.where(F.col("_corrupt_record").isNotNull()).select(
+        "path",
+        F.when(F.col("text").isNull(), "malformed JSON").otherwise("partly malformed JSON").alias("reason"),
+    )
+    return documents, unsupported.unionByName(broken).unionByName(malformed)
 
 
 def corpus_scan(spark: SparkSession, base: str) -> DataFrame:

@@ -20,8 +20,10 @@ def require_rows(df: DataFrame, stage: str) -> DataFrame:
 
 
 def write_documents(docs: DataFrame, path: str, rows_per_file: int = 100_000) -> None:
-    """Append crawled documents ``(host, ...)`` as JSON lines, one directory for each host."""
-    writer = docs.write.mode("append").partitionBy("host")
+    """Append crawled documents ``(host, ...)`` as JSON lines, one directory for each host. Rows are
+    laid out by host and id first, so a task opens files of few hosts and a large host has several."""
+    keys = [c for c in ("host", "doc_id") if c in docs.columns]
+    writer = docs.repartitionByRange(*keys).write.mode("append").partitionBy("host")
     writer.option("maxRecordsPerFile", rows_per_file).json(path)
 
 
@@ -51,6 +53,11 @@ def export_index(postings: DataFrame, path: str, span: int = 65536) -> None:
     postings_blocks(postings, span).write.mode("overwrite").json(path)
 
 
+def export_frequency(dictionary: DataFrame, path: str) -> None:
+    """Export document frequencies as JSON lines ``{term, df}``."""
+    dictionary.select("term", "df").write.mode("overwrite").json(path)
+
+
 def read_exported_index(spark: SparkSession, path: str) -> DataFrame:
     """Long postings from the exported blocks."""
     blocks = spark.read.schema("term string, block bigint, doc_ids array<bigint>").json(path)
