@@ -53,7 +53,9 @@ def test_seen_urls_are_dropped(spark, tmp_path, event_time):
         "url", F.timestamp_seconds("at").alias("at")
     )
     links.write.parquet(path)
-    stream = streaming.unseen_urls(spark.readStream.schema(schema).parquet(path), event_time)
+    stream = streaming.unseen_urls(
+        spark.readStream.schema(schema).parquet(path), event_time, "7 days" if event_time else None
+    )
     out = str(tmp_path / "out")
 
     def run():

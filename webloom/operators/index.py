@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from webloom.functions import text as text_fn
 from webloom.functions.stem import stem_series
-from webloom.operators.skew import hot_keys, join_skewed
+from webloom.operators.skew import HOT_ROWS, hot_keys, join_skewed
+from webloom.session import cut_lineage
 
 
 def index_tokens(
@@ -42,10 +43,12 @@ def stem_vocabulary(terms: DataFrame, term: str = "term") -> DataFrame:
 
 
 def with_stems(tokens: DataFrame) -> DataFrame:
-    """Replace ``term`` by its stem. A frequent term may fill a third of the stream."""
+    """Replace ``term`` by its stem. A frequent term may fill a third of the stream, which is written
+    once and then counted and joined. For an index take ``term_postings``, which stems less."""
     columns = tokens.columns
+    written = cut_lineage(tokens)
     return (
-        join_skewed(tokens, stem_vocabulary(tokens), ["term"])
+        join_skewed(written, stem_vocabulary(written), ["term"])
         .withColumn("term", F.col("stem"))
         .select(*columns)
     )
@@ -57,6 +60,22 @@ def normalize(docs: DataFrame, stem: bool = False, **options) -> DataFrame:
     return with_stems(tokens) if stem else tokens
 
 
+def stem_postings(plain: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
+    """Postings of stems from postings of plain terms, which are written once: their frequencies give
+    both the vocabulary to stem and the frequent terms to split."""
+    plain = cut_lineage(plain)
+    dictionary = doc_frequency(plain)
+    frequent = hot_keys(dictionary, ["term"], min_rows, weight="df")
+    stemmed = join_skewed(plain, stem_vocabulary(dictionary), ["term"], hot=frequent)
+    return stemmed.select(F.col("stem").alias("term"), "doc_id").distinct()
+
+
+def term_postings(docs: DataFrame, stem: bool = False, **options) -> DataFrame:
+    """Long postings of a corpus, of stems if asked for. Texts are tokenised once."""
+    long = postings(index_tokens(docs, **options))
+    return stem_postings(long) if stem else long
+
+
 def term_sequence(tokens: DataFrame) -> DataFrame:
     """``(term, doc_id)`` with repeats in term, document order.
 
@@ -109,15 +128,15 @@ def refreshed_frequency(old: DataFrame, added: DataFrame) -> DataFrame:
 
 def build_index(docs: DataFrame, stem: bool = False, **options) -> tuple[DataFrame, DataFrame]:
     """The long postings table and the term dictionary of a corpus."""
-    long = postings(normalize(docs, stem, **options))
+    long = term_postings(docs, stem, **options)
     return long, doc_frequency(long)
 
 
 def query_terms(queries: DataFrame, stem: bool = False, **options) -> DataFrame:
     """Distinct normalised terms ``(query_id, term)``. AND and and vanish as stop words."""
     named = queries.select(F.col("query_id").alias("doc_id"), "text")
-    terms = normalize(named, stem, **options)
-    return terms.select(F.col("doc_id").alias("query_id"), "term").distinct()
+    terms = term_postings(named, stem, **options)
+    return terms.select(F.col("doc_id").alias("query_id"), "term")
 
 
 def boolean_query(

@@ -13,7 +13,7 @@ from webloom.operators.factorize import last_rating
 from webloom.operators.frontier import host_schedule, to_frontier
 from webloom.operators.links import extract_links
 from webloom.plans.registry import part
-from webloom.session import cut_lineage
+from webloom.session import SPREAD_TEXTS, cut_lineage
 
 
 # Tables whose rows are costly to work on.
@@ -21,13 +21,11 @@ TEXT_TABLES = ("documents", "pages")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. A text table that comes in fewer splits than there are cores, as a small one
-    with a single row group does, is spread first; a large one is read as it is."""
+    """A given table, in the splits of its files. A session whose files have a single row group, as
+    those of tests and benches, asks for text tables in ``SPREAD_TEXTS`` partitions instead."""
     rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in TEXT_TABLES and rows.rdd.getNumPartitions() < cores:
-        return rows.repartition(cores)
-    return rows
+    spread = spark.conf.get(SPREAD_TEXTS, None)
+    return rows.repartition(int(spread)) if spread and name in TEXT_TABLES else rows
 
 
 # --- pages with links of all kinds -----------------------------------------------------------
@@ -41,14 +39,18 @@ def linked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pages`` with a footer of links: to two other pages and one of each special kind."""
     pages = table(spark, sf_dir, "pages")
     n = pages.select(F.count(F.lit(1))).scalar()
-    address = pages.select(F.col("page_id").alias("to_id"), F.col("url").alias("to_url"))
-    first = address.withColumnsRenamed({"to_id": "first_id", "to_url": "first_url"})
-    second = address.withColumnsRenamed({"to_id": "second_id", "to_url": "second_url"})
+    # Addresses alone are joined; html meets its finished footer in one join. A page without the
+    # other page links to itself.
+    address = pages.select("page_id", "url")
+    first = address.withColumnsRenamed({"page_id": "first_id", "url": "first_url"})
+    second = address.withColumnsRenamed({"page_id": "second_id", "url": "second_url"})
     joined = (
-        pages.withColumn("first_id", (F.col("page_id") * 7 + 1) % n)
+        address.withColumn("first_id", (F.col("page_id") * 7 + 1) % n)
         .withColumn("second_id", (F.col("page_id") * 3 + 2) % n)
-        .join(first, "first_id")
-        .join(second, "second_id")
+        .join(first, "first_id", "left")
+        .join(second, "second_id", "left")
+        .withColumn("first_url", F.coalesce("first_url", "url"))
+        .withColumn("second_url", F.coalesce("second_url", "url"))
     )
     no = F.col("page_id").cast("string")
     first_url, second_url = F.col("first_url"), F.col("second_url")
@@ -71,28 +73,30 @@ def linked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         ]
     )
-    return joined.select("page_id", "url", F.concat("html", footer).alias("html"))
+    footers = joined.select("page_id", footer.alias("footer"))
+    both = pages.join(footers, "page_id", "left")
+    return both.select("page_id", "url", F.concat("html", "footer").alias("html"))
 
 
 part(
     "linked_pages",
     f"""
 SELECT p.page_id, p.url, concat(p.html,
-  '<footer><a href="', f.url, '">next</a>',
-  '<a class="x" href=''', s.url, '''>other</a>',
-  '<a href="mailto:web@', regexp_extract(f.url, '{HOST}', 1), '">mail</a>',
+  '<footer><a href="', coalesce(f.url, p.url), '">next</a>',
+  '<a class="x" href=''', coalesce(s.url, p.url), '''>other</a>',
+  '<a href="mailto:web@', regexp_extract(coalesce(f.url, p.url), '{HOST}', 1), '">mail</a>',
   '<a href="tel:', p.page_id, '">call</a>',
   '<a href=/files/', p.page_id, '.pdf>pdf</a>',
   '<a href="/files/', p.page_id, '.PDF">scan</a>',
   '<a href="/files/list.pdf?v=', p.page_id, '">list</a>',
-  '<A HREF = "//', regexp_extract(s.url, '{HOST}', 1), '/news/', p.page_id, '/">news</A>',
+  '<A HREF = "//', regexp_extract(coalesce(s.url, p.url), '{HOST}', 1), '/news/', p.page_id, '/">news</A>',
   '<a href="?page=', p.page_id, '">page</a><a href="#part', p.page_id, '">part</a>',
   '<a href="more/', p.page_id, '.html">more</a><a href="/a&amp;b/', p.page_id, '//">and</a>',
   '<!-- <a href="/comment/', p.page_id, '">x</a> -->',
   '<script>var a=''<a href="/script/', p.page_id, '">x</a>'';</script></footer>') AS html
 FROM pages p
-JOIN pages f ON f.page_id = (p.page_id * 7 + 1) % (SELECT count(*) FROM pages)
-JOIN pages s ON s.page_id = (p.page_id * 3 + 2) % (SELECT count(*) FROM pages)""",
+LEFT JOIN pages f ON f.page_id = (p.page_id * 7 + 1) % (SELECT count(*) FROM pages)
+LEFT JOIN pages s ON s.page_id = (p.page_id * 3 + 2) % (SELECT count(*) FROM pages)""",
 )
 
 HIDDEN = (

@@ -127,6 +127,13 @@ def build_index(spark, sf_dir):
     )
 
 
+@query("build_index_stemmed")
+def build_index_stemmed(spark, sf_dir):
+    """The index of word stems with the frequency of each."""
+    long = cut_lineage(index.term_postings(documents(spark, sf_dir), stem=True))
+    return long.join(index.doc_frequency(long), "term")
+
+
 @query(
     "index_append",
     oracle(
@@ -163,6 +170,20 @@ def boolean_query(spark, sf_dir):
     return index.boolean_query(terms, asked_postings(spark, sf_dir, terms))
 
 
+@query("boolean_query_stemmed")
+def boolean_query_stemmed(spark, sf_dir):
+    """The same searches by stems: plain terms whose stem nobody asks for go before any shuffle of
+    postings."""
+    questions = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    terms = cut_lineage(index.query_terms(questions, stem=True))
+    tokens = index.index_tokens(documents(spark, sf_dir))
+    asked = terms.select(F.col("term").alias("stem")).distinct()
+    vocabulary = index.stem_vocabulary(tokens).join(asked, "stem", "left_semi")
+    # As many terms as have one of the asked stems; Spark broadcasts them while they are few.
+    found = index.postings(tokens.join(vocabulary.select("term"), "term", "left_semi"))
+    return index.boolean_query(terms, cut_lineage(index.stem_postings(found)))
+
+
 @query(
     "postings_intersect",
     oracle(

@@ -528,8 +528,15 @@ def mf_dsgd(spark, sf_dir):
 
 @query("mf_als")
 def mf_als(spark, sf_dir):
-    """Alternating least squares; predictions for all observed pairs."""
-    ratings = b.matrix(spark, sf_dir)
-    model = fz.fit_als(ratings, k=10, decay=0.1, iterations=5)
-    pairs = ratings.select(F.col("user_id").cast("int"), F.col("item_id").cast("int"), "rating")
-    return model.transform(pairs).select("user_id", "item_id", "rating", "prediction")
+    """Alternating least squares on dense ids; predictions for all observed pairs."""
+    rated = cut_lineage(b.ratings(spark, sf_dir))
+    users = cut_lineage(fz.first_seen_ids(rated, "user", "user_id"))
+    items = cut_lineage(fz.first_seen_ids(rated, "item", "item_id"))
+    dense = cut_lineage(fz.with_dense_ids(fz.last_rating(rated), users, items))
+    model = fz.fit_als(dense, k=10, decay=0.1, iterations=5)
+    pairs = dense.select(F.col("user_id").cast("int"), F.col("item_id").cast("int"), "rating")
+    predicted = cut_lineage(model.transform(pairs).select("user_id", "item_id", "rating", "prediction"))
+    named = join_skewed(join_skewed(predicted, users, ["user_id"]), items, ["item_id"])
+    return named.select(
+        F.col("user").alias("user_id"), F.col("item").alias("item_id"), "rating", "prediction"
+    )

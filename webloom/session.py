@@ -6,6 +6,10 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Session setting: partitions that the queries' text tables are spread over. Unset, they stay in the
+# splits of their files.
+SPREAD_TEXTS = "spark.webloom.spreadTexts"
+
 
 def local_session(cores: int | str = 8, app: str = "webloom", **conf: str) -> SparkSession:
     """Session for tests and benches. On a cluster, bring your own."""
@@ -14,6 +18,7 @@ def local_session(cores: int | str = 8, app: str = "webloom", **conf: str) -> Sp
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
+        .config(SPREAD_TEXTS, str(cores))
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")

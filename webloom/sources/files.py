@@ -109,11 +109,12 @@ def read_json_lines(
     """JSON lines, plain or gzipped, with an explicit schema.
 
     A gzip file is read by one task, so its rows are spread over ``partitions`` right away.
-    ``rows`` keeps the first so many in reading order.
+    ``rows`` keeps the first so many, by file name and place in the file.
     """
     lines = spark.read.schema(schema).json(path)
     if rows is not None:
-        return lines.limit(rows)
+        place = ["_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id()]
+        lines = lines.orderBy(*place).limit(rows).select(*lines.columns)
     return lines.repartition(partitions) if partitions else lines
 
 

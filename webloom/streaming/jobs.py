@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from webloom.operators.index import append_postings, normalize
+from webloom.operators.index import append_postings, term_postings
 
-POSTINGS_SCHEMA = "term string, doc_id {doc_type}, batch bigint"
+POSTINGS_SCHEMA = "term string, doc_id {doc_type}, batch bigint, bucket int"
+# Parts that the postings of each batch are laid out in, by a hash of the document.
+BUCKETS = 64
 
 
 def read_document_stream(
@@ -34,22 +36,22 @@ def index_stream(
     """Keep a postings table up to date with a stream of documents ``(doc_id, text)``.
 
     Each micro-batch adds the postings the table does not have yet and writes them into a
-    directory of its own. A batch that is run again after a failure replaces that directory, so
-    nothing is added twice.
+    directory of its own, one file for each of ``BUCKETS`` buckets of documents at most. A batch
+    that is run again after a failure replaces that directory, so nothing is added twice.
     """
 
     doc_type = docs.schema["doc_id"].dataType.simpleString()
+    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS)).cast("int")
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        tokens = normalize(batch, stem)
-        # Only postings in the batch's range of documents can repeat; the bounds reach the parquet
-        # scan, which skips the files of all other documents.
-        low, high = batch.agg(F.min("doc_id"), F.max("doc_id")).first()
+        # Only postings in the buckets of the batch's documents can repeat; the scan lists no others.
+        buckets = [r[0] for r in batch.select(bucket).distinct().collect()]
         known = read_streamed_postings(batch.sparkSession, index_path, doc_type).where(
-            (F.col("batch") != batch_id) & F.col("doc_id").between(low, high)
+            (F.col("batch") != batch_id) & F.col("bucket").isin(buckets)
         )
-        fresh = append_postings(known, tokens)
-        fresh.write.mode("overwrite").parquet(f"{index_path}/batch={batch_id}")
+        fresh = append_postings(known, term_postings(batch, stem)).withColumn("bucket", bucket)
+        laid = fresh.repartition(BUCKETS, "bucket").sortWithinPartitions("bucket", "term", "doc_id")
+        laid.write.mode("overwrite").partitionBy("bucket").parquet(f"{index_path}/batch={batch_id}")
 
     return (
         docs.writeStream.foreachBatch(add)
@@ -72,12 +74,15 @@ def read_streamed_postings(
         return spark.createDataFrame([], schema)
 
 
-def unseen_urls(links: DataFrame, event_time: str | None = None, within: str = "7 days") -> DataFrame:
+def unseen_urls(links: DataFrame, event_time: str | None = None, within: str | None = None) -> DataFrame:
     """Drop addresses a link stream has delivered before.
 
     Without ``event_time`` every address is remembered for good. With it, state is dropped once an
-    address is older than ``within``, which bounds the state of an endless stream.
+    address is older than ``within``, which bounds the state of an endless stream; there is no
+    default for it, as an address that comes again later is delivered again.
     """
+    if (event_time is None) != (within is None):
+        raise ValueError("event_time and within go together")
     if event_time is None:
         return links.dropDuplicates(["url"])
     return links.withWatermark(event_time, within).dropDuplicatesWithinWatermark(["url"])
