@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from webloom.llm import (
     archive,
+    common,
     decontam,
     features,
     forest_join,
@@ -406,3 +407,15 @@ def test_licence_sequences(spark):
             want += [(at, *fits[0])] if fits else []
             at += fits[0][0] if fits else 1
         assert licences.match_rules(line, licences.RULES) == want
+
+
+def test_samples_stay_bounded_when_a_key_repeats(spark):
+    rows = spark.range(3000).selectExpr("if(id < 1000, 7, id) AS doc_id", "'a' AS lang", "cast(id AS string) AS text")
+    picked = common.bounded_sample(rows, "doc_id", 10_000, "lang").collect()
+    assert len(picked) == len({r["doc_id"] for r in picked}) == 2001
+    assert next(r["text"] for r in picked if r["doc_id"] == 7) == "0"
+
+
+def test_digits_of_other_scripts_are_no_letters():
+    model = langid.Model(["xx"], np.zeros(1), np.zeros((1 << langid.BITS, 1)))
+    assert langid.guess("²³ ٣ ½ _ -", model) == ("und", 0.0) and langid.guess("² é", model)[0] == "xx"

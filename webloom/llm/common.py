@@ -47,12 +47,21 @@ def unit_hash(*keys: Column) -> Column:
 
 def bounded_sample(rows: DataFrame, key: str, bound: int, stratum: str) -> DataFrame:
     """About ``bound`` rows of each value of ``stratum``, all if there are no more, picked by a hash
-    of ``key``; column ``share`` holds the part of its stratum that was picked."""
+    of ``key``; column ``share`` holds the part of its stratum that was picked. Of rows that repeat a
+    key one is taken, so a key with many rows does not break the bound."""
     share = F.least(F.lit(1.0), F.lit(float(bound)) / F.count(F.lit(1)))
     shares = rows.groupBy(stratum).agg(share.alias("share"))
     # One row for each label value; training refuses label sets that are not small.
     labelled = rows.join(F.broadcast(shares.limit(MAX_LABELS + 1)), stratum)
-    return labelled.where(unit_hash(F.col(key)) < F.col("share"))
+    return one_of_each(labelled.where(unit_hash(F.col(key)) < F.col("share")), key)
+
+
+def one_of_each(rows: DataFrame, key: str) -> DataFrame:
+    """Of the rows with one ``key`` that whose other columns come first in order; the columns of
+    ``rows``. Rows are cut down before the shuffle."""
+    rest = [c for c in rows.columns if c != key]
+    least = rows.groupBy(key).agg(F.min(F.struct(*rest)).alias("_least"))
+    return least.select(*[F.col(c) if c == key else F.col("_least")[c].alias(c) for c in rows.columns])
 
 
 # Most label values of a classifier.

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,7 +19,6 @@ BITS = 13
 TRAIN_ROWS = 5000
 # Tasks that count n-grams of the sample.
 TRAIN_PARTS = 16
-LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
 # Characters of a text that are hashed at a time.
 PIECE = 1 << 18
@@ -87,10 +85,11 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     spread = sample.select("lang", "text", "doc_id").repartition(TRAIN_PARTS, "doc_id")
     counted = spread.mapInPandas(count, "lang string, bucket int, n bigint")
     table = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    sizes = {r["lang"]: r["n"] for r in counts.limit(MAX_LABELS + 1).collect()}
     languages = sorted(sizes)
     if len(languages) > MAX_LABELS:
-        raise ValueError(f"{len(languages)} languages: lang does not look like a label")
+        raise ValueError(f"over {MAX_LABELS} languages: lang does not look like a label")
     seen = np.ones((len(languages), 1 << BITS))
     row = table["lang"].map({v: i for i, v in enumerate(languages)}).to_numpy(dtype=np.int64)
     np.add.at(seen, (row, table["bucket"].to_numpy(dtype=np.int64)), table["n"].to_numpy(dtype=np.float64))
@@ -115,7 +114,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def guess(text: str | None, model: Model) -> tuple[str, float]:
-    if text is None or not model.languages or not LETTER.search(text):
+    if text is None or not model.languages or not any(map(str.isalpha, text)):
         return UNKNOWN, 0.0
     p = model.posterior(text)
     best = int(p.argmax())

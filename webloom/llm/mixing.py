@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webloom.llm.common import bounded_sample, map_batches, shared_table, unit_hash
+from webloom.llm.common import bounded_sample, map_batches, one_of_each, shared_table, unit_hash
 from webloom.llm.features import STATISTICS, fit_softmax, only, sampled_rows, softmax, telling, text_features
 
 BITS = 16
@@ -45,7 +45,8 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> C
     # At most train_rows rows, or thereabouts, for each of the domains.
     sample = F.broadcast(bounded_sample(known, "doc_id", train_rows, "domain"))
     texts = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(sample, "doc_id")
-    rows, table = sampled_rows(texts.select("doc_id", "text", "domain", "share"), BITS, ["domain", "share"])
+    texts = one_of_each(texts.select("doc_id", "text", "domain", "share"), "doc_id")
+    rows, table = sampled_rows(texts, BITS, ["domain", "share"])
     names = list(TARGETS)
     label = table["domain"].map({d: i for i, d in enumerate(names)}).to_numpy(dtype=np.int64)
     tells = np.any([telling(rows, label == i, SIZE) for i in range(len(names))], axis=0)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webloom.llm.common import bounded_sample, map_batches, plain, shared_table
+from webloom.llm.common import bounded_sample, map_batches, one_of_each, plain, shared_table
 from webloom.llm.features import SYMBOLS, sigmoid
 
 WINDOW = 8
@@ -204,7 +204,7 @@ def train(table: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) ->
     rows = table.join(sample, "doc_id").select(
         "doc_id", features().alias("x"), "quality", (1.0 / F.col("share")).alias("w")
     )
-    got = rows.orderBy("doc_id").toPandas()
+    got = one_of_each(rows, "doc_id").orderBy("doc_id").toPandas()
     x = np.array(got["x"].tolist(), dtype=np.float64).reshape(len(got), len(FEATURES))
     good = got["quality"].to_numpy(dtype=np.float64)
     return boost(x, good, got["w"].to_numpy(dtype=np.float64), list(FEATURES.values()))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webloom.llm.common import bounded_sample, map_batches
+from webloom.llm.common import bounded_sample, map_batches, one_of_each
 from webloom.llm.features import Rows, adam, only, sampled_rows, sigmoid, telling, text_features
 
 BITS = 18
@@ -92,7 +92,8 @@ def train(docs: DataFrame, labels: DataFrame, grades: int = GRADES, train_rows:
     # At most train_rows rows, or thereabouts, for each of the two labels.
     sample = F.broadcast(bounded_sample(known.select("doc_id", "toxic"), "doc_id", train_rows, "toxic"))
     texts = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(sample, "doc_id")
-    rows, table = sampled_rows(texts.select("doc_id", "text", "toxic", "share"), BITS, ["toxic", "share"])
+    texts = one_of_each(texts.select("doc_id", "text", "toxic", "share"), "doc_id")
+    rows, table = sampled_rows(texts, BITS, ["toxic", "share"])
     toxic = table["toxic"].to_numpy(dtype=np.int64) > 0
     grade = grade_toxic(rows, toxic, grades)
     rows = only(rows, telling(rows, toxic, SIZE))
