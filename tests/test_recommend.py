@@ -208,8 +208,12 @@ def test_strata_visit_every_rating(ratings):
 def test_nan_starts_afresh(spark, ratings):
     bad = fz.start_factors(ratings, 2).withColumn("f0", F.when(F.col("id") == 1, float("nan")).otherwise(F.col("f0")))
     assert fz.any_nan(bad).first()[0] and not fz.any_nan(fz.start_factors(ratings, 2)).first()[0]
-    steep = fz.stochastic_descent(ratings, epochs=3, blocks=1, learning_rate=1e200)
-    assert not fz.any_nan(steep).first()[0]
+    # The second epoch starts from other values than the first one did.
+    again = fz.stochastic_descent(ratings, epochs=2, blocks=1, factors=bad)
+    once = fz.stochastic_descent(ratings, epochs=1, blocks=1, factors=fz.start_factors(ratings, 2, draw=1))
+    assert rows(again) == rows(once) and rows(fz.start_factors(ratings, 2)) != rows(fz.start_factors(ratings, 2, draw=1))
+    with pytest.raises(ArithmeticError):
+        fz.stochastic_descent(ratings, epochs=3, blocks=1, learning_rate=1e200)
 
 
 def test_split_and_metrics(spark):

@@ -8,6 +8,7 @@ from tests.conftest import rows
 from webloom.operators import frontier as fr
 from webloom.operators import links as ln
 from webloom.operators import robots as rb
+from webloom.session import cut_lineage_by
 
 PAGES = [
     (1, "http://a.com/", '<a href="/x/">x</a><a href="/x">again</a><a href="http://b.com/news">b</a>'
@@ -249,3 +250,12 @@ def test_closure_against_brute_force(spark):
     assert dict(rows(fr.crawl_closure(seeds, table))) == reached
     near = {u: d for u, d in reached.items() if d <= 2}
     assert dict(rows(fr.crawl_closure(seeds, table, max_depth=2))) == near
+
+
+def test_rounds_of_the_closure_keep_their_layout(spark):
+    parts = [cut_lineage_by(spark.range(n, n + 50).select(F.col("id").alias("url")), ["url"]) for n in (0, 50)]
+    seen = parts[0].unionByName(parts[1]).hint("merge")
+    fresh = spark.range(80, 120).select(F.col("id").alias("url")).join(seen, "url", "left_anti")
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert rows(fresh) == [(n,) for n in range(100, 120)]

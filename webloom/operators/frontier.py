@@ -160,14 +160,16 @@ def crawl_closure(
 
     Edges should already be filtered (domain, robots); seeds are taken as they are. Every round
     expands only the addresses first seen in the round before. Rounds are written to the
-    checkpoint folder, which keeps the plan short and survives lost executors.
+    checkpoint folder, which keeps the plan short and survives lost executors. Each is laid out by
+    address there, so a round reads the earlier ones where they are and shuffles its own only.
     """
     pairs = edges.select("src_url", "url").distinct()
     # Laid out by source once, so that a round shuffles its own addresses only.
     by_source = cut_lineage_by(pairs, ["src_url"])
-    new = cut_lineage(seeds.select("url").distinct().withColumn("depth", F.lit(0)))
+    new = cut_lineage_by(seeds.select("url").distinct().withColumn("depth", F.lit(0)), ["url"])
     rounds = [new]
     while max_depth is None or len(rounds) <= max_depth:
+        # A union of tables in one layout keeps it.
         seen = reduce(DataFrame.unionByName, rounds).select("url")
         reached = (
             by_source.join(new.select(F.col("url").alias("src_url")), "src_url", "left_semi")
@@ -175,7 +177,7 @@ def crawl_closure(
             .distinct()
             .join(seen, "url", "left_anti")
         )
-        new = cut_lineage(reached.withColumn("depth", F.lit(len(rounds))))
+        new = cut_lineage_by(reached.withColumn("depth", F.lit(len(rounds))), ["url"])
         if new.isEmpty():
             break
         rounds.append(new)
