@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -409,6 +410,29 @@ def test_licence_sequences(spark):
         assert licences.match_rules(line, licences.RULES) == want
 
 
+def test_every_licence_rule_is_found_plain_and_wrapped(spark):
+    forms = {
+        "plain": lambda text: text + ".",
+        "wrapped": lambda text: "\n".join(textwrap.wrap(text, 72)),
+        "narrow": lambda text: "\r\n".join(textwrap.wrap(text, 24)),
+        "comment": lambda text: "\n".join(f" * {line}" for line in textwrap.wrap(text, 60)),
+    }
+    rows = [
+        (f"{i} {form}", "\n\n".join(["Own words", *[write(licences.SENTENCES[n]) for n in rule], "Own words"]))
+        for i, (_, rule) in enumerate(licences.RULES)
+        for form, write in forms.items()
+    ]
+    found = licences.scan_licences(spark.createDataFrame(rows, "doc_id string, text string"))
+    got = {r["doc_id"]: (r["sentence_ids"], [(m["length"], m["licence"]) for m in r["matches"]]) for r in found.collect()}
+    for i, (licence, rule) in enumerate(licences.RULES):
+        for form in forms:
+            assert got[f"{i} {form}"] == (list(rule), [(len(rule), licence)]), (rule, form)
+    known = licences.beginnings()
+    assert licences.sentences_of("Released under the\n\nMIT License", known) == (2, [(1, "mit.title")])
+    assert licences.sentences_of("Released under. The MIT License", known) == (2, [])
+    assert licences.sentences_of("Released under the.\nMIT License", known) == (2, [(1, "mit.title")])
+
+
 def test_samples_stay_bounded_when_a_key_repeats(spark):
     rows = spark.range(3000).selectExpr("if(id < 1000, 7, id) AS doc_id", "'a' AS lang", "cast(id AS string) AS text")
     picked = common.bounded_sample(rows, "doc_id", 10_000, "lang").collect()

@@ -80,7 +80,9 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
 SENTENCE_END = r"\n|[.!?:;]+[ \t\r\f\x0B]"
 # What parts the words of a normalised sentence.
 BETWEEN = r"[^a-z0-9]+"
-_END, _BETWEEN = re.compile(SENTENCE_END), re.compile(BETWEEN)
+# A known text may run over a single line end, and over the other cuts that it has itself.
+STOPS = (".", "!", "?", ":", ";")
+_END, _BETWEEN = re.compile(f"({SENTENCE_END})"), re.compile(BETWEEN)
 
 
 def normalise(sentence: str) -> str:
@@ -93,17 +95,64 @@ def known_sentences(sentences: dict[str, str] = SENTENCES) -> dict[str, str]:
     return {normalise(text): name for name, text in sentences.items()}
 
 
-def sentences_of(text: str, known: dict[str, str]) -> tuple[int, list[tuple[int, str]]]:
-    """How many sentences with a word a text has, and the number and identifier of the known ones."""
-    count, found = 0, []
-    for raw in _END.split(text.lower()):
+def cut(text: str) -> list[tuple[str, bool, bool]]:
+    """The normalised sentences of a text that have a word, each with whether a stop follows it, and
+    whether an empty line does, or one without a word."""
+    out: list[tuple[str, bool, bool]] = []
+    parts = _END.split(text.lower())
+    lines = 0
+    for raw, end in zip(parts[::2], [*parts[1::2], ""]):
         sentence = _BETWEEN.sub(" ", raw).strip(" ")
+        stop = end not in ("", "\n") or raw.endswith(STOPS)
         if sentence:
-            name = known.get(sentence)
-            if name:
-                found.append((count, name))
-            count += 1
-    return count, found
+            lines = int(end == "\n")
+            out.append((sentence, stop, False))
+        elif out:
+            lines += end == "\n"
+            out[-1] = (out[-1][0], out[-1][1] or stop, lines > 1)
+    return out
+
+
+def beginnings(sentences: dict[str, str] = SENTENCES) -> tuple[dict[str, str], dict[str, set], dict[str, set]]:
+    """Names of the known texts by their normalised form; by each of their beginnings of whole words;
+    and by the beginnings that a stop follows in them."""
+    heads: dict[str, set] = {}
+    stops: dict[str, set] = {}
+    for text, name in known_sentences(sentences).items():
+        words = text.split(" ")
+        for i in range(1, len(words) + 1):
+            heads.setdefault(" ".join(words[:i]), set()).add(name)
+        pieces = cut(sentences[name])
+        for i, (_, stop, _) in enumerate(pieces[:-1], 1):
+            if stop:
+                stops.setdefault(" ".join(p for p, _, _ in pieces[:i]), set()).add(name)
+    return known_sentences(sentences), heads, stops
+
+
+def sentences_of(text: str, known: tuple[dict, dict, dict]) -> tuple[int, list[tuple[int, str]]]:
+    """How many sentences with a word a text has, and the known texts (see ``beginnings``) that are a
+    sentence or a run of them: name and number of the first. At each place the longest is taken. A run
+    goes on over a single line end, and over a stop where the known text has one too."""
+    whole, heads, stops = known
+    sentences = cut(text)
+    found, at = [], 0
+    while at < len(sentences):
+        run, stop, empty = sentences[at]
+        fits, end, best = heads.get(run), at + 1, None
+        while fits:
+            if whole.get(run) in fits:
+                best = (end, whole[run])
+            if empty or end == len(sentences):
+                break
+            if stop:
+                fits = fits & stops.get(run, set())
+            more, stop, empty = sentences[end]
+            run, end = f"{run} {more}", end + 1
+            fits = fits & heads.get(run, set())
+        if best:
+            found.append((at, best[1]))
+        at = best[0] if best else at + 1
+    return len(sentences), found
 
 
 def match_rules(names: list[str], rules: list[tuple[str, tuple[str, ...]]]) -> list[tuple[int, int, str]]:
@@ -127,10 +176,10 @@ def scan_licences(
     rules: list[tuple[str, tuple[str, ...]]] = RULES,
 ) -> DataFrame:
     """``(doc_id, n_sentences, sentence_ids, matches)`` for every row of ``docs``: its sentences with a
-    word, the identifiers of the known ones in order, and the rule matches as ``(sentence, length,
+    word, the identifiers of the known texts in order, wrapped or not, and the rule matches as ``(sentence, length,
     licence)`` with the number of the sentence they start at. Null and empty texts have no sentence."""
 
-    known = known_sentences(sentences)
+    known = beginnings(sentences)
 
     def compute(batch: pa.RecordBatch) -> list:
         counts, ids, matches = [], [], []
