@@ -300,6 +300,28 @@ def test_page_texts(spark):
     assert page_diff.main_text(pages(spark, rows + rows[:1])).count() == 8
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ('<div class="page no-sidebar"><article>Own text</article></div>', "Own text"),
+        ('<article class="post has-comments">Own text</article>', "Own text"),
+        ('<main class="content with-sidebar">Own text<div id=x role=search>no</div></main>', "Own text"),
+        ('<div class="layout-with-nav"><p class="article-header">Own text</p></div>', "Own text"),
+        ('<div data-id="search" title="a class=ad b">Own text</div>', "Own text"),
+        ('<div class="sidebar"><main>Own text</main>no</div>', "Own text"),
+        ('<div class="notice wide"><article>Own <div class="ad">no</div>text</article></div>', "Own text"),
+        ('<article class="header">Own text</article>', "Own text"),
+        ('<article>Own text</article><div class="comments"><article>no</article></div>', "Own text"),
+        ('<p>Own text</p><div class="comments"><article>no</article><article>no</article></div>', "Own text"),
+        ('<aside><article>no</article></aside><div class="AD">no</div><p>Own text</p>', "Own text"),
+    ],
+)
+def test_marks_are_whole_words_and_leave_the_article(html, text):
+    lines = page_diff.page_lines(html)
+    best = max(place for _, place in lines)
+    assert best and " ".join(t for t, place in lines if place == best) == text
+
+
 def test_wu_manber_against_brute_force():
     rng = random.Random(1)
     vocabulary = [f"w{i}".encode() for i in range(6)]

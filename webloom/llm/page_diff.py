@@ -21,13 +21,12 @@ BOILERPLATE = frozenset(
 )
 # Elements whose content is text and not markup up to their end tag.
 RAW = frozenset("script style textarea title noscript iframe".split())
-# Words in a class, id or role that mark menus, notices, adverts, forms and reader comments.
-MARKED = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert|advertisement|banner|sponsor(?:ed)?|promo|nav|navbar|navigation|menu|"
-    r"breadcrumbs?|sidebar|footer|header|cookies?|consent|notice|popup|modal|newsletter|subscribe|social|"
-    r"share|related|comments?|reader-comments|disqus|reply|replies|login|search|complementary|contentinfo)"
-    r"(?:$|[\s_-])",
-    re.I,
+# Words that as a whole class, id or role mark menus, notices, adverts, forms and reader comments.
+MARKED = frozenset(
+    "ad ads advert advertisement banner sponsor sponsored promo nav navbar navigation menu breadcrumb "
+    "breadcrumbs sidebar footer header cookie cookies consent notice popup modal newsletter subscribe "
+    "social share related comment comments reader-comments disqus reply replies login search "
+    "complementary contentinfo".split()
 )
 MAIN = frozenset(("article", "main"))
 INLINE = frozenset(
@@ -40,21 +39,32 @@ TOKEN = re.compile(
     r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",
     re.S,
 )
-ATTRIBUTE = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 SPACE = re.compile(r"[\s\x1c-\x1f]+")
 
 
+def marked(attributes: str) -> bool:
+    """Whether a word of class, id or role is one of ``MARKED``."""
+    return any(
+        not MARKED.isdisjoint(value.strip("\"'").lower().split())
+        for name, value in ATTRIBUTE.findall(attributes)
+        if name.lower() in ("class", "id", "role")
+    )
+
+
 def page_lines(html: str) -> list[tuple[str, int]]:
     """The lines of a page, one for each block of text with its white space collapsed, in page order.
 
     With each line comes its place: 2 inside an article or main element, 1 outside, 0 inside an
-    element that cannot be part of the article by its name, class, id or role. End tags that are
-    missing are made up for by the end of an enclosing element; a page may break off anywhere.
+    element that cannot be part of the article by its name, class, id or role. A main element is
+    never cut by a class, id or role that it has or inherits; nor is an article (then 1) if it is
+    the only such one and nothing else on the page is in place 2. End tags that are missing are made up for by the end of an enclosing element; a page may break off anywhere.
     """
     lines: list[tuple[str, int]] = []
     open_tags: list[tuple[str, int]] = []  # name, place inside
     piece: list[str] = []
-    place = 1
+    place = 1  # -1 inside a marked element, -2 in an article there
+    doubtful = 0  # articles that are marked or stand in a marked element
 
     def close() -> None:
         if piece:
@@ -93,10 +103,13 @@ def page_lines(html: str) -> list[tuple[str, int]]:
         inside = place
         if name in BOILERPLATE or place == 0:
             inside = 0
-        elif attributes and name not in ("html", "body") and any(
-            MARKED.search(a.strip("\"'")) for a in ATTRIBUTE.findall(attributes)
-        ):
-            inside = 0
+        elif name == "main":
+            inside = 2
+        elif place == -1 or attributes and name not in ("html", "body") and marked(attributes):
+            inside = -2 if name == "article" else -1
+            doubtful += name == "article"
+        elif place == -2:
+            inside = -2
         elif name in MAIN:
             inside = 2
         if name in RAW:
@@ -110,7 +123,8 @@ def page_lines(html: str) -> list[tuple[str, int]]:
         open_tags.append((name, inside))
         place = inside
     close()
-    return lines
+    kept = 1 if doubtful == 1 and all(p != 2 for _, p in lines) else 0
+    return [(text, kept if p == -2 else max(p, 0)) for text, p in lines]
 
 
 def common_lines(mine: list, other: list) -> list[bool]:
