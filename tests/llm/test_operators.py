@@ -300,6 +300,33 @@ def test_page_texts(spark):
     assert page_diff.main_text(pages(spark, rows + rows[:1])).count() == 8
 
 
+def test_copies_do_not_take_each_others_text(spark):
+    def words(name):
+        return [f"{name} line {i}" for i in range(12)]
+
+    def plain(lines):
+        return "".join(f"<p>{x}</p>" for x in lines)
+
+    def article(lines):
+        return f"<article>{plain(lines)}</article>"
+
+    more = "Read more of this"
+    rows = [(i, f"http://m/a?utm={i}", plain([more, *words("own")])) for i in range(5)]
+    rows += [(5 + i, f"http://m/b{i}", plain([more, *words("near"), f"at {i}"])) for i in range(5)]
+    rows += [(10, "http://m/c", plain([more, *words("last")]))]
+    rows += [(20 + i, f"http://n/{i}", article([more, *words(f"n{i}"), *([] if i == 2 else ["Quoted"])])) for i in range(4)]
+    rows += [(30 + i, f"http://twins/{i}", plain(words("twin"))) for i in range(2)]
+    got = {r["page_id"]: r["text"] for r in page_diff.main_text(pages(spark, rows)).collect()}
+    want = {i: " ".join(words("own")) for i in range(5)}
+    want |= {5 + i: " ".join([*words("near"), f"at {i}"]) for i in range(5)}
+    want |= {10: " ".join(words("last"))}
+    # At the ends of a host an article has one neighbour; a quote is shared with one alone.
+    want |= {20: " ".join([more, *words("n0"), "Quoted"]), 21: " ".join([*words("n1"), "Quoted"])}
+    want |= {22: " ".join(words("n2")), 23: " ".join([more, *words("n3"), "Quoted"])}
+    want |= {30 + i: " ".join(words("twin")) for i in range(2)}
+    assert got == want
+
+
 @pytest.mark.parametrize(
     "html, text",
     [

@@ -8,10 +8,10 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from webloom.llm.common import lists_of, map_batches, shared_table
+from webloom.llm.common import join_counted, lists_of, map_batches, shared_table
 from webloom.operators.skew import numbered
 
 # Elements whose content is never part of an article.
@@ -189,26 +189,67 @@ def _parsed(batch: pa.RecordBatch) -> list[list[tuple[str, int]]]:
     return [[] if html is None else page_lines(html) for html in batch.column("html").to_pylist()]
 
 
+def _kept_place(lines: list[tuple[str, int]]) -> int:
+    """The place of the lines that may be text: article and main elements, if there are any."""
+    return 2 if any(place == 2 for _, place in lines) else 1
+
+
 def _outlines(batch: pa.RecordBatch) -> list:
-    """Keys of all lines of each page."""
-    return [[[line_key(text) for text, _ in lines] for lines in _parsed(batch)]]
+    """Keys of all lines of each page, and the characters of those that may be text, 0 for others."""
+    parsed = [(lines, _kept_place(lines)) for lines in _parsed(batch)]
+    return [
+        [[line_key(text) for text, _ in lines] for lines, _ in parsed],
+        [[len(text) if place == kept else 0 for text, place in lines] for lines, kept in parsed],
+    ]
 
 
 def _candidates(batch: pa.RecordBatch) -> list:
-    """The lines that may be text, each with its position on the page, or 0 if it stands in an
-    article and stays even if the neighbour has it too."""
+    """The lines that may be text, each with its position on the page, below 0 in an article."""
     texts, at = [], []
     for lines in _parsed(batch):
-        settled = any(place == 2 for _, place in lines)
-        keep = [(i, t) for i, (t, place) in enumerate(lines, 1) if place == (2 if settled else 1)]
+        kept = _kept_place(lines)
+        keep = [(i, t) for i, (t, place) in enumerate(lines, 1) if place == kept]
         texts.append([t for _, t in keep])
-        at.append([0 if settled else i for i, _ in keep])
+        at.append([-i if kept == 2 else i for i, _ in keep])
     return [texts, at]
 
 
+# Two pages are nearly the same if they share this part of the characters that may be text on the
+# page that has fewer of them.
+NEAR = 0.9
+
+
+def near(keys: np.ndarray, sizes: np.ndarray, other_keys: np.ndarray, other_sizes: np.ndarray) -> bool:
+    """Whether two pages are nearly the same, by the lines that may be text on either."""
+    least = min(int(sizes.sum()), int(other_sizes.sum()))
+    if not least:
+        return False
+    mine, other = ({}, {})
+    for lines, k, n in ((mine, keys, sizes), (other, other_keys, other_sizes)):
+        for key, size in zip(k.tolist(), n.tolist()):
+            if size:
+                lines[key] = lines.get(key, 0) + size
+    return sum(min(size, other.get(key, 0)) for key, size in mine.items()) >= NEAR * least
+
+
+def _near(batch: pa.RecordBatch) -> list:
+    return [[near(*x) for x in zip(*(lists_of(batch, c) for c in ("keys", "sizes", "next_keys", "next_sizes")))]]
+
+
 def _alignments(batch: pa.RecordBatch) -> list:
-    pairs = zip(lists_of(batch, "keys"), lists_of(batch, "other_keys"))
-    return [[common_lines(mine.tolist(), other.tolist()) for mine, other in pairs]]
+    """The lines shared with the nearest page, and those shared with the pages on both sides."""
+    columns = [lists_of(batch, c) for c in ("keys", "sizes", "last_keys", "last_sizes", "next_keys", "next_sizes")]
+    edits = [batch.column(c).to_pylist() for c in ("last_edits", "next_edits")]
+    once, twice = [], []
+    for keys, sizes, *sides, last, following in zip(*columns, *edits):
+        found = [
+            (distance, common_lines(keys.tolist(), k.tolist()))
+            for distance, k, n in ((last, *sides[:2]), (following, *sides[2:]))
+            if distance is not None and not near(keys, sizes, k, n)
+        ]
+        once.append(min(found, key=lambda x: x[0])[1] if found else [])
+        twice.append([a and b for a, b in zip(found[0][1], found[1][1])] if len(found) == 2 else [])
+    return [once, twice]
 
 
 def keyed(pages: DataFrame) -> DataFrame:
@@ -219,43 +260,90 @@ def keyed(pages: DataFrame) -> DataFrame:
 
 
 def outlines(pages: DataFrame) -> DataFrame:
-    """``(row_key, host, path, keys)``, one row for each different page."""
-    lines = map_batches(keyed(pages), ["row_key", "url"], "keys array<bigint>", _outlines)
+    """``(row_key, host, path, outline, keys, sizes)``, one row for each different page; pages of a
+    host with the same lines share ``outline``."""
+    new = "keys array<bigint>, sizes array<int>"
+    lines = map_batches(keyed(pages), ["row_key", "url"], new, _outlines)
     address = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)([^?#]*)"
-    return lines.select(
+    placed = lines.select(
         "row_key",
         F.lower(F.coalesce(F.regexp_extract("url", address, 1), F.lit(""))).alias("host"),
         F.coalesce(F.regexp_extract("url", address, 2), F.lit("")).alias("path"),
         "keys",
+        "sizes",
     ).dropDuplicates(["row_key"])
+    return placed.withColumn("outline", F.xxhash64("host", "keys", "sizes"))
+
+
+def runs(slim: DataFrame) -> DataFrame:
+    """``(place, host, path, outline, keys, sizes, run)``: one page of each outline of each host, in
+    the order of host and path; those that follow each other and are nearly the same are one run."""
+    heads = slim.where(F.col("host") != "").groupBy("outline").agg(
+        F.min("host").alias("host"), F.min(F.struct("path", "row_key")).alias("head")
+    )
+    heads = heads.select("outline", "host", F.col("head.path").alias("path"), F.col("head.row_key").alias("row_key"))
+    # Lines join after the numbering, which would move them several times.
+    order = numbered(heads, ["host", "path", "row_key"], "place")
+    order = shared_table(order.join(slim.select("row_key", "keys", "sizes"), "row_key").drop("row_key"))
+    following = order.select(
+        (F.col("place") - 1).alias("place"),
+        F.col("host").alias("next_host"),
+        *[F.col(c).alias(f"next_{c}") for c in ("keys", "sizes")],
+    )
+    both = order.join(following, "place").where(F.col("host") == F.col("next_host"))
+    alike = map_batches(both, ["place"], "near boolean", _near).where("near")
+    # A page that is not nearly the same as the page before it starts a run.
+    starts = order.select("place").join(alike.select((F.col("place") + 1).alias("place"), "near"), "place", "left")
+    inside = Window.partitionBy("_block").orderBy("place")
+    counted = starts.select("place", F.floor(F.col("place") / BLOCK).alias("_block"), "near")
+    counted = counted.withColumn("_run", F.sum(F.col("near").isNull().cast("bigint")).over(inside))
+    counted = shared_table(counted.drop("near"))
+    # One row for each BLOCK pages.
+    blocks = counted.groupBy("_block").agg(F.max("_run").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    blocks = blocks.select("_block", F.coalesce(before, F.lit(0)).alias("_before"))
+    placed = counted.join(blocks, "_block").select("place", (F.col("_run") + F.col("_before")).alias("run"))
+    return order.join(placed, "place")
+
+
+# Places that are counted in one go.
+BLOCK = 4096
 
 
 def neighbours(slim: DataFrame) -> DataFrame:
-    """``(row_key, other_key)``: the nearest page of each page. Pages are put in the order of host
-    and path; of the page before and the page after on the same host, that whose path takes fewer
-    edits is the nearest, the one before if both take as many. Pages without a host, and the only
-    page of a host, have none."""
-    order = numbered(slim.select("host", "path", "row_key"), ["host", "path", "row_key"], "place")
-    order = shared_table(order)
-
-    def beside(step: int, prefix: str) -> DataFrame:
-        return order.select(
-            (F.col("place") + step).alias("place"),
-            *[F.col(c).alias(f"{prefix}_{c}") for c in ("host", "path", "row_key")],
+    """``(outline, keys, sizes)`` with ``edits``, ``keys`` and ``sizes`` of the last page before and the
+    next page after the outline's run, on its host: the edits between the paths, or null and no lines if
+    there is no such page. Copies thus have no copy for a neighbour. Pages without a host have none."""
+    members = shared_table(runs(slim))
+    beside = ("host", "path", "keys", "sizes")
+    ends = members.groupBy("run").agg(
+        F.count(F.lit(1)).alias("n"), F.min("place").alias("from"), F.max("place").alias("to")
+    )
+
+    def side(step: int, prefix: str) -> DataFrame:
+        return members.select(
+            (F.col("place") + step).alias("from" if step > 0 else "to"),
+            *[F.col(c).alias(f"{prefix}_{c}") for c in beside],
         )
 
+    around = ends.join(side(1, "last"), "from", "left").join(side(-1, "next"), "to", "left").drop("from", "to")
+    both = join_counted(members, shared_table(around), "run", members.count())
+
     def edits(prefix: str):
-        same_host = (F.col("host") != "") & (F.col("host") == F.col(f"{prefix}_host"))
         distance = F.levenshtein("path", f"{prefix}_path", EDITS)
-        return F.when(same_host, F.when(distance < 0, EDITS + 1).otherwise(distance))
+        there = F.col("host") == F.col(f"{prefix}_host")
+        return F.when(there, F.when(distance < 0, EDITS + 1).otherwise(distance)).alias(f"{prefix}_edits")
 
-    both = order.join(beside(1, "last"), "place", "left").join(beside(-1, "next"), "place", "left")
-    last, following = edits("last"), edits("next")
-    nearest = F.when(following.isNull() | (last <= following), F.col("last_row_key")).otherwise(
-        F.col("next_row_key")
+    def lines(column: str, kind: str):
+        return F.coalesce(F.col(column), F.array().cast(f"array<{kind}>")).alias(column)
+
+    return both.select(
+        "outline",
+        "keys",
+        "sizes",
+        *[edits(p) for p in ("last", "next")],
+        *[lines(f"{p}_{c}", k) for p in ("last", "next") for c, k in (("keys", "bigint"), ("sizes", "int"))],
     )
-    chosen = both.where(last.isNotNull() | following.isNotNull())
-    return chosen.select("row_key", nearest.alias("other_key"))
 
 
 # Paths that take more edits than this count as equally far.
@@ -263,22 +351,25 @@ EDITS = 64
 
 
 def shared_lines(pages: DataFrame) -> DataFrame:
-    """``(row_key, shared)``: for each page with a neighbour, which of its lines are in a longest
-    common subsequence with the neighbour's lines. Lines travel as 64-bit keys."""
+    """``(row_key, shared, twice)``: for each page with a neighbour, which of its lines are in a longest
+    common subsequence with the lines of the nearer neighbour (the one before, if both are as near),
+    and which are in one with both neighbours. Lines travel as 64-bit keys."""
     slim = shared_table(outlines(pages))
-    pairs = neighbours(slim)
-    mine = pairs.join(slim.select("row_key", "keys"), "row_key")
-    other = slim.select(F.col("row_key").alias("other_key"), F.col("keys").alias("other_keys"))
-    both = mine.join(other, "other_key").select("row_key", "keys", "other_keys")
-    return map_batches(both, ["row_key"], "shared array<boolean>", _alignments)
+    new = "shared array<boolean>, twice array<boolean>"
+    found = map_batches(neighbours(slim), ["outline"], new, _alignments)
+    copies = slim.groupBy("outline").agg(F.count(F.lit(1)).alias("n"))
+    rows = slim.select("row_key", "outline")
+    both = join_counted(rows, shared_table(found.join(copies, "outline")), "outline", slim.count())
+    return both.select("row_key", "shared", "twice")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """``(page_id, url, text, n_chars, n_lines, n_shared)`` for every row of ``pages`` (page_id, url,
     html): the lines that the page does not share with its nearest page, joined by single spaces.
 
-    Lines inside an article or main element stay even where the nearest page has them too, as
-    articles quote each other; if there is such an element, lines outside it go. Lines in elements
+    Copies and near copies are no neighbours, so they do not take each other's text. Articles quote
+    each other, so lines inside an article or main element go only if the neighbours before and after
+    both have them; if there is such an element, lines outside it go. Lines in elements
     that cannot belong to an article (menus, headers, footers, sidebars, notices, adverts, forms,
     reader comments, scripts, styles) go even if no other page has them. A null, empty or textless
     page gives an empty text; repeated rows give a row each; ``n_shared`` counts shared lines.
@@ -289,7 +380,10 @@ def main_text(pages: DataFrame) -> DataFrame:
     joined = texts.join(shared_lines(pages), "row_key", "left")
     stays = F.filter(
         F.arrays_zip("lines", "at"),
-        lambda x: (x["at"] == 0) | ~F.coalesce(F.get(F.col("shared"), x["at"] - 1), F.lit(False)),
+        lambda x: ~F.coalesce(
+            F.when(x["at"] > 0, F.get(F.col("shared"), x["at"] - 1)).otherwise(F.get(F.col("twice"), -x["at"] - 1)),
+            F.lit(False),
+        ),
     )
     text = F.array_join(F.transform(stays, lambda x: x["lines"]), " ")
     shared = F.size(F.filter(F.coalesce(F.col("shared"), F.array().cast("array<boolean>")), lambda x: x))
