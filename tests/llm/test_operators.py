@@ -435,6 +435,25 @@ def test_rates_meet_targets_like_brute_force(spark):
     assert np.allclose(mine, r)
 
 
+def test_rates_have_no_upper_bound_and_misses_are_told(spark):
+    rng = np.random.default_rng(2)
+    kinds = [(0.96, 0.02, 0.02)] * 20 + [(0.01, 0.98, 0.01)] * 975 + [(0.02, 0.02, 0.96)] * 5
+    rows = [(int(t), list(q)) for t, q in zip(rng.integers(50, 500, 1000), kinds)]
+    table = spark.createDataFrame(rows, "tokens bigint, p array<double>")
+    goal = list(mixing.TARGETS.values())
+    steps, residual = mixing.fit_rates(table, goal, max_rate=float("inf"))
+    assert mixing.missed(residual, list(mixing.TARGETS)) == {}
+    got = table.select("tokens", "p", mixing.rate(steps, float("inf")).alias("r")).collect()
+    assert min(x["r"] for x in got) >= 0 and max(x["r"] for x in got) > mixing.MAX_RATE
+    sums = [sum(x["r"] * x["tokens"] * x["p"][i] for x in got) for i in range(3)]
+    assert np.allclose(np.array(sums) / sum(x["tokens"] for x in got), goal, atol=2e-4)
+    _, bounded = mixing.fit_rates(table, goal)
+    assert mixing.missed(bounded, list(mixing.TARGETS))["clean"] < -0.5
+    docs = awkward(spark)
+    mixed, gaps = mixing.mixture(docs, spark.createDataFrame([], LABELS))
+    assert mixed.count() == docs.count() and gaps["clean"] < 0 < gaps["junk"]
+
+
 def test_licence_sequences(spark):
     mit = [licences.SENTENCES[n] for n in ("mit.title", "mit.grant", "mit.notice", "mit.warranty")]
     rows = [

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,10 +20,11 @@ SIZE = (1 << BITS) + 2
 TRAIN_ROWS = 2500
 # Share of the tokens that each domain of the labelled table should have.
 TARGETS = {"clean": 0.9, "junk": 0.05, "toxic": 0.05}
-# A document counts at most so often.
+# Bound that a caller may set on the rate of a document; the query has none.
 MAX_RATE = 4.0
 ITERATIONS = 40
 TOLERANCE = 1e-4
+log = logging.getLogger(__name__)
 
 
 def domain() -> Column:
@@ -102,64 +105,90 @@ def fit_rates(
     domain alone. Minimised is the squared distance of the expected tokens of each domain,
     sum(rate * tokens * p), from ``total * target``, over rates in ``[0, max_rate]``, from rates of 1.
     A gradient step moves a rate by the document's p times the residuals, scaled by the inverse of the
-    tokens' second moments, which makes a step of size one exact while no rate meets a bound. As a rate
-    follows from p and the steps taken, no rates are stored. A step that does not lower the distance
-    is halved, one that does doubles the next up to eight; once a plain step hardly helps, the fit ends.
+    second moments of the tokens whose rate is above 0, which makes a step of size one exact while no
+    rate meets a bound. As a rate follows from p and the steps taken, no rates are stored. A step that
+    does not lower the distance is halved, one that does doubles the next up to eight. The fit ends at
+    the tolerance, or where no step helps; then the residuals tell what is missed.
     """
     d = len(targets)
     tokens, p = F.col("tokens"), F.col("p")
-    moments = [F.sum(tokens * p[i] * p[j]) for i in range(d) for j in range(d)]
-    row = table.agg(F.sum("tokens"), *moments).first()
-    base = float(row[0] or 0.0)
+    base = float(table.agg(F.sum("tokens")).first()[0] or 0.0)
     if not base:
         return [], [0.0] * d
-    moment = np.array([float(x) for x in row[1:]]).reshape(d, d) / base
-    scale = np.linalg.inv(moment + 1e-6 * np.trace(moment) * np.eye(d))
     goal = np.array(targets) / sum(targets) * ((total if total is not None else base) / base)
 
-    def residual_after(steps: list[list[float]]) -> np.ndarray:
+    def after(steps: list[list[float]]) -> tuple[np.ndarray, np.ndarray]:
+        """Residuals, and second moments of the tokens that a step can lower as well as raise."""
         rated = table.select("tokens", "p", rate(steps, max_rate).alias("r"))
-        sums = rated.agg(*[F.sum(F.col("r") * tokens * p[i]) for i in range(d)]).first()
-        return np.array([float(x) for x in sums]) / base - goal
+        free = F.when(F.col("r") > 0, tokens).otherwise(0)
+        sums = rated.agg(
+            *[F.sum(F.col("r") * tokens * p[i]) for i in range(d)],
+            *[F.sum(free * p[i] * p[j]) for i in range(d) for j in range(d)],
+        ).first()
+        values = np.array([float(x) for x in sums]) / base
+        return values[:d] - goal, values[d:].reshape(d, d)
+
+    def scale(moment: np.ndarray) -> np.ndarray:
+        return np.linalg.inv(moment + 1e-6 * max(np.trace(moment), 1e-9) * np.eye(d))
 
     steps: list[list[float]] = []
-    residual, size = residual_after(steps), 1.0
+    (residual, moment), size = after(steps), 1.0
     for _ in range(iterations):
-        if np.abs(residual).max() <= tolerance or size < 1e-2:
+        if np.abs(residual).max() <= tolerance or size < 1e-4:
             break
-        tried = [*steps, (size * (scale @ residual)).tolist()]
-        new = residual_after(tried)
+        tried = [*steps, (size * (scale(moment) @ residual)).tolist()]
+        new, new_moment = after(tried)
         gain = 1 - (new @ new) / (residual @ residual)
         if gain <= 0:
             size /= 2
             continue
-        if gain < 1e-3 and size <= 1:
+        if gain < 1e-6 and size <= 1:
             break
-        steps, residual, size = tried, new, 1.0 if gain < 1e-3 else min(8.0, 2 * size)
+        steps, residual, moment, size = tried, new, new_moment, 1.0 if gain < 1e-3 else min(8.0, 2 * size)
     return steps, residual.tolist()
 
 
-def mix(
+def missed(residual: list[float], names: list[str], tolerance: float = TOLERANCE) -> dict[str, float]:
+    """The domains whose share is not met, with what is too much of them, or below 0 too little."""
+    gaps = {name: gap for name, gap in zip(names, residual) if abs(gap) > tolerance}
+    if gaps:
+        log.warning("targets missed, as shares of all tokens: %s", gaps)
+    return gaps
+
+
+def mixture(
     docs: DataFrame,
     labels: DataFrame,
     targets: dict[str, float] = TARGETS,
-    max_rate: float = MAX_RATE,
-) -> DataFrame:
-    """``(doc_id, tokens, p_clean, p_junk, p_toxic, rate, copies)`` for every row of ``docs``.
-
-    ``rate`` is the expected number of times the document is taken, ``copies`` a whole number that a
-    hash of its id draws with that expectation. Null, empty and blank texts have no tokens; their
-    rate follows from the domain of an empty text, as any other's. A null id draws as one value."""
+    max_rate: float = math.inf,
+) -> tuple[DataFrame, dict[str, float]]:
+    """The table of ``mix``, and the domains whose target is missed (see ``missed``)."""
     table = shared_table(posteriors(docs, train(docs, labels), ["doc_id"]))
-    steps, _ = fit_rates(table, [targets[d] for d in TARGETS], max_rate=max_rate)
+    steps, residual = fit_rates(table, [targets[d] for d in TARGETS], max_rate=max_rate)
     rated = table.withColumn("rate", F.round(rate(steps, max_rate), 6))
-    return rated.select(
+    mixed = rated.select(
         "doc_id",
         "tokens",
         *[F.round(F.col("p")[i], 6).alias(f"p_{d}") for i, d in enumerate(TARGETS)],
         "rate",
         copies(F.col("rate"), F.col("doc_id")).alias("copies"),
     )
+    return mixed, missed(residual, list(TARGETS))
+
+
+def mix(
+    docs: DataFrame,
+    labels: DataFrame,
+    targets: dict[str, float] = TARGETS,
+    max_rate: float = math.inf,
+) -> DataFrame:
+    """``(doc_id, tokens, p_clean, p_junk, p_toxic, rate, copies)`` for every row of ``docs``.
+
+    ``rate`` is the expected number of times the document is taken, ``copies`` a whole number that a
+    hash of its id draws with that expectation. Null, empty and blank texts have no tokens; their
+    rate follows from the domain of an empty text, as any other's. A null id draws as one value. Missed
+    targets are logged; ``mixture`` returns them."""
+    return mixture(docs, labels, targets, max_rate)[0]
 
 
 def copies(expected: Column, key: Column) -> Column:
@@ -176,7 +205,8 @@ def mixed_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float
     first = table.agg(F.sum(F.col("tokens") * F.col("p")[0])).first()[0] or 0.0
     # Two per cent above what there is, so that documents of the first domain are not thinned.
     budget = 1.02 * first * sum(targets.values()) / targets[names[0]]
-    steps, _ = fit_rates(table, [targets[d] for d in names], budget, max_rate=1.0)
+    steps, residual = fit_rates(table, [targets[d] for d in names], budget, max_rate=1.0)
+    missed(residual, names)
     taken = copies(F.round(rate(steps, 1.0), 6), F.col("doc_id"))
     gone = table.where((taken == 0) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
