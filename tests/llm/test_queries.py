@@ -11,7 +11,7 @@ from webloom.llm.queries import QUERIES
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
 
 
 @pytest.mark.parametrize("name", [n for n, q in QUERIES.items() if q.sql])

@@ -9,6 +9,7 @@ from uuid import uuid4
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -128,6 +129,20 @@ def plain(made) -> tuple:
     return tuple(getattr(made, f.name) for f in fields(made))
 
 
+def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Runs of rows of ``batch`` whose strings in ``column`` have together at most ``most`` bytes, or
+    one row."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    start, held = 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if held and held + size > most:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += size
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
 def lists_of(batch: pa.RecordBatch, column: str) -> list[np.ndarray]:
     """The cells of a list column without nulls, as arrays that share one buffer."""
     values = batch.column(column)

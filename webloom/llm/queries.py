@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from webloom.llm import (
+    alignment,
     archive,
     decontam,
     forest_join,
+    infill,
     langid,
     licences,
     mixing,
+    packing,
     page_diff,
     quality,
     severity,
@@ -201,3 +204,41 @@ FROM cut c LEFT JOIN named n USING (doc_id)
 @query("op10_licence_scan", _op10_sql())
 def op10(spark, sf_dir):
     return licences.licence_table(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units,
+    sha256('7:' || doc_id) AS h FROM documents),
+drawn AS (
+  SELECT doc_id, text, units, len(units) AS n,
+    list_transform([1, 9, 17, 25], lambda i: ('0x' || substr(h, i, 8))::BIGINT) AS d FROM cut),
+placed AS (
+  SELECT *, least(d[1] % (n + 1), d[2] % (n + 1)) AS a, greatest(d[1] % (n + 1), d[2] % (n + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR d[3] % 100 >= 100
+      THEN 'plain' WHEN d[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (
+  SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+    array_to_string(units[b + 1:], '') AS suffix FROM placed)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(prefix || middle || suffix) AS restored_sha256
+FROM parts
+"""
+
+
+@query("op11_fill_in_middle", OP11_SQL)
+def op11(spark, sf_dir):
+    return infill.digests(infill.rearranged(table(spark, sf_dir, "documents")))
+
+
+@query("op12_sequence_packing")
+def op12(spark, sf_dir):
+    return packing.packing_table(table(spark, sf_dir, "documents"))
+
+
+@query("op13_token_alignment")
+def op13(spark, sf_dir):
+    return alignment.alignment_table(table(spark, sf_dir, "documents"))
