@@ -4,12 +4,14 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from webloom.operators import factorize as fz
 from webloom.operators import profiles as pf
+from webloom.plans import bindings
 
 ITEMS = [
     ("i1", ["Tools", "red"], ["Big red tool", "a fine price"], "$10.00"),
@@ -112,6 +114,48 @@ def test_profiles_and_ranking_against_numpy(spark, min_rows, blocks):
         assert [ranked[(user, n + 1)][1] for n in range(3)] == pytest.approx([scores[n] for n in order])
 
 
+def unit_frame(vectors):
+    vectors = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    row, column = np.nonzero(vectors)
+    labels = np.array([f"f{c:03d}" for c in column], dtype=object)
+    return pd.DataFrame({"id": row, "label": labels, "value": vectors[row, column]}), vectors
+
+
+@pytest.mark.parametrize("negative", [False, True])
+@pytest.mark.parametrize("k", [1, 3, 50])
+def test_bounded_scoring_equals_all_pairs(negative, k):
+    rng = np.random.default_rng(k)
+    kinds = rng.random((40, 60)) * (rng.random((40, 60)) < 0.1) + 0.01 * np.eye(40, 60)
+    # Items of a kind differ in one weight; many are alike.
+    items = kinds[rng.integers(0, 40, 2000)] * 10
+    items[:, 59] = rng.integers(0, 3, 2000) * 0.1
+    users = kinds[rng.integers(0, 40, (60, 3))].mean(axis=1) + 1e-3
+    users -= 0.2 * rng.random((60, 60)) * negative
+    a, u = unit_frame(users)
+    b, i = unit_frame(items)
+    found, scored = pf.best_in_block(a, b, k)
+    scores = (u @ i.T).round(12)
+    for n in range(60):
+        order = sorted(range(2000), key=lambda m: (-scores[n, m], m))[:k]
+        mine = found[found["user"] == n]
+        assert mine["score"].to_numpy() == pytest.approx(scores[n, order], abs=1e-11)
+        assert len(set(mine["item"])) == k
+        assert set(mine["item"][mine["score"] > scores[n, order[-1]] + 1e-11]) <= set(order)
+    assert k == 50 or scored < 0.25 * scores.size
+
+
+def test_given_items_are_seldom_scored(spark, sf_dir):
+    items = pf.item_profiles(bindings.items(spark, sf_dir))
+    users = pf.user_profiles(bindings.ratings(spark, sf_dir), items)
+    frames = [
+        pf._unit_vectors(t.select(key, "feature", "weight").toDF("id", "label", "value")).toPandas()
+        for t, key in ((users, "user"), (items, "item"))
+    ]
+    found, scored = pf.best_in_block(*frames, 2)
+    pairs = frames[0]["id"].nunique() * frames[1]["id"].nunique()
+    assert len(found) == 2 * frames[0]["id"].nunique() and scored < pairs
+
+
 # --- factorisation ---------------------------------------------------------------------------
 
 RATINGS = [(0, 0, 5.0), (0, 1, 4.0), (1, 1, 5.0), (1, 2, 3.0), (2, 0, 4.0), (2, 3, 1.0)]

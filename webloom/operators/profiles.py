@@ -174,15 +174,18 @@ def top_items(
     users: DataFrame,
     profiles: DataFrame,
     k: int = 2,
-    user_block: int = 1024,
-    item_block: int = 4096,
+    user_block: int = 2048,
+    item_block: int = 65536,
 ) -> DataFrame:
     """The ``k`` items nearest to each user profile by cosine: ``(user, rank, item, score)``.
 
-    Exact. Users and items fall into blocks of bounded size; each pair of blocks is one task that
-    multiplies them in numpy and keeps ``k`` items for each user, so the score matrix never
-    becomes rows. The best of all blocks are merged by a window with a group limit. Rated items
-    stay in, ties go to the smaller item.
+    Exact, without scoring all pairs. Users and items fall into blocks of bounded size, which meet in
+    one task each. There, items of the same heaviest features form groups and those of the same
+    features in all form subgroups; the greatest weight of each feature bounds the scores of a
+    group. A user's ``k``-th best among one item of each group is a threshold; groups, then
+    subgroups, whose bound lies below it are left out, and the items of the rest are scored. The best
+    of all blocks are merged by a window with a group limit. Rated items stay in, ties go to the
+    smaller item.
     """
     if k <= 0:
         raise ValueError("k must be greater than 0")
@@ -203,7 +206,7 @@ def top_items(
     item_type = profiles.schema["item"].dataType.simpleString()
 
     def score(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        return _best_in_block(a, b, k)
+        return best_in_block(a, b, k)[0]
 
     partial = (
         left.groupBy("ub", "ib")
@@ -230,51 +233,172 @@ def _unit_vectors(vectors: DataFrame) -> DataFrame:
     return vectors.select("id", "label", cosine_of(F.col("value"), length).alias("value"))
 
 
-def _column(positions: pd.Series, values: pd.Series, size: int) -> np.ndarray:
-    column = np.zeros(size)
-    column[positions.to_numpy()] = values.to_numpy()
-    return column
-
-
-def _best_in_block(a: pd.DataFrame, b: pd.DataFrame, k: int) -> pd.DataFrame:
-    """Top ``k`` items of one item block for each user of one user block."""
-    users, rows = np.unique(a["id"].to_numpy(), return_inverse=True)
-    items, cols = np.unique(b["id"].to_numpy(), return_inverse=True)
-    scores = np.zeros((len(users), len(items)))
-    dense_a, dense_b = [], []
-    of_items = dict(tuple(b.assign(col=cols).groupby("label")[["col", "value"]]))
-    for label, part in a.assign(row=rows).groupby("label"):
-        other = of_items.get(label)
-        if other is None:
-            continue
-        if len(part) * len(other) * 50 < scores.size:
-            # A rare feature touches few cells.
-            scores[np.ix_(part["row"], other["col"])] += np.outer(part["value"], other["value"])
-            continue
-        # A common one becomes a column of a matrix product.
-        dense_a.append(_column(part["row"], part["value"], len(users)))
-        dense_b.append(_column(other["col"], other["value"], len(items)))
-        if len(dense_a) == 512:
-            scores += np.array(dense_a).T @ np.array(dense_b)
-            dense_a, dense_b = [], []
-    if dense_a:
-        scores += np.array(dense_a).T @ np.array(dense_b)
-    # Rounding keeps equal scores equal whatever the order of addition; items are sorted.
-    scores = scores.round(12)
-    keep = min(k, len(items))
-    if keep == 0:
-        return pd.DataFrame({"user": users[:0], "item": items[:0], "score": scores[:0].ravel()})
-    places, values, row = [], [], np.arange(len(users))
-    for _ in range(keep):
-        # The first of several maxima is the smaller item.
-        best = scores.argmax(axis=1)
-        places.append(best)
-        values.append(scores[row, best])
-        scores[row, best] = -np.inf
-    return pd.DataFrame(
-        {
-            "user": np.tile(users, keep),
-            "item": items[np.concatenate(places)],
-            "score": np.concatenate(values),
-        }
-    )
+# Features whose set makes a group of items, the heaviest ones.
+GROUP_FEATURES = 3
+# Numbers of a dense matrix in a task.
+DENSE = 1 << 23
+# More than rounding can move a score.
+ROUNDING = 1e-9
+
+
+class Rows:
+    """Sparse rows ``row, column, value`` in row order; ``starts`` has one entry more than there are rows."""
+
+    def __init__(self, row: np.ndarray, column: np.ndarray, value: np.ndarray, rows: int):
+        order = np.lexsort((column, row))
+        self.row, self.column, self.value = row[order], column[order], value[order]
+        self.starts = np.searchsorted(self.row, np.arange(rows + 1))
+
+    def __len__(self) -> int:
+        return len(self.starts) - 1
+
+    def picked(self, which: np.ndarray) -> Rows:
+        at, owner = _expanded(self.starts, which)
+        return Rows(owner, self.column[at], self.value[at], len(which))
+
+    def dense(self, first: int, last: int, width: int) -> np.ndarray:
+        made = np.zeros((last - first, width))
+        part = slice(self.starts[first], self.starts[last])
+        made[self.row[part] - first, self.column[part]] = self.value[part]
+        return made
+
+
+class GroupedItems:
+    """The items of a block in groups and subgroups, with bounds of their weights."""
+
+    def __init__(self, item: np.ndarray, feature: np.ndarray, value: np.ndarray, n: int, width: int):
+        self.items, self.width = Rows(item, feature, value, n), width
+        heavy = np.lexsort((feature, -value, item))
+        place = np.arange(len(item)) - self.items.starts[item[heavy]]
+        top = place < GROUP_FEATURES
+        leading = np.full((n, GROUP_FEATURES), -1)
+        leading[item[heavy][top], place[top]] = feature[heavy][top]
+        group = np.unique(np.sort(leading, axis=1), axis=0, return_inverse=True)[1].ravel()
+        # A sum of scrambled features; two sets with one sum would only share a bound.
+        mark = (feature.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        mark ^= mark >> np.uint64(29)
+        whole = np.zeros(n, dtype=np.uint64)
+        np.add.at(whole, item, mark * mark)
+        _, first, self.part = np.unique(
+            np.stack([group.astype(np.uint64), whole], axis=1), axis=0, return_index=True, return_inverse=True
+        )
+        self.part = self.part.ravel()
+        self.by_part = np.argsort(self.part, kind="stable")
+        self.part_starts = np.searchsorted(self.part[self.by_part], np.arange(len(first) + 1))
+        # Subgroups are numbered in the order of their groups.
+        groups = int(group.max()) + 1 if n else 0
+        self.group_starts = np.searchsorted(group[first], np.arange(groups + 1))
+        self.samples = np.unique(group, return_index=True)[1]
+        self.of_groups = [self._extreme(group, groups, most) for most in (True, False)]
+        self.of_parts = [self._extreme(self.part, len(first), most) for most in (True, False)]
+
+    def _extreme(self, group: np.ndarray, groups: int, most: bool) -> Rows:
+        """The greatest or least weight of each feature in a group; an item without it has 0."""
+        rows, sizes = self.items, np.bincount(group, minlength=groups)
+        cell = group[rows.row] * self.width + rows.column
+        order = np.argsort(cell, kind="stable")
+        new = np.flatnonzero(np.diff(cell[order], prepend=-1))
+        if not len(new):
+            return Rows(cell, cell, rows.value, groups)
+        value = (np.maximum if most else np.minimum).reduceat(rows.value[order], new)
+        cell, held = cell[order][new], np.diff(new, append=len(order))
+        missing = held < sizes[cell // self.width]
+        value = np.where(missing, np.maximum(value, 0) if most else np.minimum(value, 0), value)
+        return Rows(cell // self.width, cell % self.width, value, groups)
+
+
+def _expanded(starts: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places ``starts[w]`` to ``starts[w + 1]`` of every ``w``, and for each place whose it is."""
+    sizes = starts[which + 1] - starts[which]
+    owner = np.repeat(np.arange(len(which)), sizes)
+    return np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(starts[which], sizes), owner
+
+
+def _dots(dense: np.ndarray, user: np.ndarray, rows: Rows, row: np.ndarray) -> np.ndarray:
+    """Products of users with sparse rows, pair by pair."""
+    made = np.zeros(len(user))
+    for first in range(0, len(user), DENSE // 8):
+        u, r = user[first : first + DENSE // 8], row[first : first + DENSE // 8]
+        at, owner = _expanded(rows.starts, r)
+        terms = dense[u[owner], rows.column[at]] * rows.value[at]
+        made[first : first + len(u)] = np.bincount(owner, weights=terms, minlength=len(u))
+    return made
+
+
+def _all_dots(dense: np.ndarray, rows: Rows) -> np.ndarray:
+    """Products of all users with all of some sparse rows: ``(users, rows)``."""
+    # A gathered product takes some hundred times as long as one of a matrix product.
+    if len(rows) * dense.shape[1] > 400 * len(rows.row):
+        user, row = np.divmod(np.arange(len(dense) * len(rows)), max(len(rows), 1))
+        return _dots(dense, user, rows, row).reshape(len(dense), len(rows))
+    step = max(1, DENSE // dense.shape[1])
+    parts = [
+        dense @ rows.dense(first, min(first + step, len(rows)), dense.shape[1]).T
+        for first in range(0, len(rows), step)
+    ]
+    return np.concatenate(parts, axis=1)
+
+
+def _all_bounds(dense: np.ndarray, extremes: list[Rows]) -> np.ndarray:
+    bound = _all_dots(np.maximum(dense, 0), extremes[0])
+    if (dense < 0).any():
+        bound += _all_dots(np.minimum(dense, 0), extremes[1])
+    return bound
+
+
+def _open_parts(dense: np.ndarray, stay: np.ndarray, least: np.ndarray, grouped: GroupedItems):
+    """Pairs of a user and a subgroup whose bound reaches the user's threshold, among the groups
+    ``(users, groups)`` that do; a group has few features, so a small product each."""
+    users, parts = [], []
+    for group in np.flatnonzero(stay.any(axis=0)).tolist():
+        user = np.flatnonzero(stay[:, group])
+        first, last = grouped.group_starts[group : group + 2].tolist()
+        most = grouped.of_groups[0]
+        columns = most.column[most.starts[group] : most.starts[group + 1]]
+        mine = dense[np.ix_(user, columns)]
+        high, low = (x.dense(first, last, grouped.width)[:, columns] for x in grouped.of_parts)
+        bound = np.maximum(mine, 0) @ high.T + np.minimum(mine, 0) @ low.T
+        row, part = np.nonzero(bound >= least[user, None])
+        users.append(user[row])
+        parts.append(part + first)
+    return np.concatenate(users), np.concatenate(parts)
+
+
+def best_in_block(a: pd.DataFrame, b: pd.DataFrame, k: int) -> tuple[pd.DataFrame, int]:
+    """Top ``k`` items of one item block for each user of one user block, and how many pairs of a user
+    and an item were scored for it. Both frames hold unit vectors ``(id, label, value)``."""
+    users, row = np.unique(a["id"].to_numpy(), return_inverse=True)
+    items, col = np.unique(b["id"].to_numpy(), return_inverse=True)
+    labels, known = np.unique(b["label"].to_numpy(), return_inverse=True)
+    width, scored = len(labels), 0
+    if not len(users) or not len(items):
+        return pd.DataFrame({"user": users[:0], "item": items[:0], "score": np.zeros(0)}), 0
+    grouped = GroupedItems(col, known, b["value"].to_numpy(), len(items), width)
+    # Features that no item has do not count for a product.
+    feature = np.searchsorted(labels, a["label"].to_numpy())
+    shared = (feature < width) & (labels[np.minimum(feature, width - 1)] == a["label"].to_numpy())
+    vectors = Rows(row[shared], feature[shared], a["value"].to_numpy()[shared], len(users))
+    samples, groups = grouped.items.picked(grouped.samples), len(grouped.group_starts) - 1
+    step = max(1, min(DENSE // width, DENSE // groups))
+    found = []
+    for first in range(0, len(users), step):
+        n = min(step, len(users) - first)
+        dense = vectors.dense(first, first + n, width)
+        seeds = _all_dots(dense, samples)
+        least = np.full(n, -np.inf)
+        if k <= groups:
+            least = np.partition(seeds, groups - k, axis=1)[:, groups - k] - ROUNDING
+        stay = _all_bounds(dense, grouped.of_groups) >= least[:, None]
+        user, part = _open_parts(dense, stay, least, grouped)
+        at, owner = _expanded(grouped.part_starts, part)
+        user, item = user[owner], grouped.by_part[at]
+        # Rounding keeps equal scores equal whatever the order of addition.
+        score = _dots(dense, user, grouped.items, item).round(12)
+        scored += seeds.size + len(score)
+        order = np.lexsort((item, -score, user))
+        user, item, score = user[order], item[order], score[order]
+        rank = np.arange(len(user)) - np.searchsorted(user, user)
+        best = rank < k
+        found.append((user[best] + first, item[best], score[best]))
+    user, item, score = (np.concatenate(x) for x in zip(*found))
+    return pd.DataFrame({"user": users[user], "item": items[item], "score": score}), scored
