@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from webloom.functions import text as text_fn
 from webloom.functions.fixed_values import STOP_WORDS, TOKEN_PUNCTUATION
-from webloom.operators import index
+from webloom.operators import index, stored_index
 from webloom.plans.bindings import table
 from webloom.plans.registry import oracle, part, query
-from webloom.session import cut_lineage
+from webloom.session import cut_lineage, shared_folder
 
 SPACE = r"[\t-\r\x1c-\x20\x{85}\p{Z}]"
 SPACE_NOT_NEWLINE = r"[\t\x0b-\r\x1c-\x20\x{85}\p{Z}]"
@@ -208,3 +208,34 @@ def postings_intersect(spark, sf_dir):
         .agg(F.min("term").alias("term1"), F.max("term").alias("term2"))
     )
     return index.intersect_terms(pairs, asked_postings(spark, sf_dir, terms))
+
+
+@query(
+    "index_search_stored",
+    oracle(
+        """
+SELECT query_id, doc_id FROM questions JOIN postings USING (term)
+JOIN (SELECT query_id, count(*) AS n_terms FROM questions GROUP BY query_id) USING (query_id)
+GROUP BY query_id, doc_id, n_terms HAVING count(*) = n_terms
+UNION ALL
+SELECT 'rare ' || q.term AS query_id, doc_id FROM (SELECT DISTINCT term FROM questions) q JOIN postings USING (term)
+JOIN dictionary d USING (term) WHERE d.df <= 20""",
+        "questions",
+        "postings",
+        "dictionary",
+    ),
+)
+def index_search_stored(spark, sf_dir):
+    """The index of all documents is written, read back and searched: for every ``benchmark`` passage,
+    and for each of its rarer terms alone."""
+    path = f"{shared_folder(spark)}/index"
+    stored_index.write_stored_index(postings_table(spark, sf_dir), path)
+    blocks, directory = stored_index.read_stored_index(spark, path)
+    questions = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    terms = cut_lineage(index.query_terms(questions))
+    known = directory.where("block = 0 and df <= 20").select("term")
+    rare = terms.select("term").distinct().join(known, "term", "left_semi")
+    asked = terms.select(F.col("query_id").cast("string").alias("query_id"), "term").unionByName(
+        rare.select(F.concat(F.lit("rare "), "term").alias("query_id"), "term")
+    )
+    return stored_index.search_stored(asked, blocks, directory)
