@@ -1,11 +1,13 @@
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from webloom import streaming
 from webloom.operators import index
+from webloom.streaming import segments
 
 
 def drop(folder, host, number, text):
@@ -27,7 +29,7 @@ def test_index_stream_equals_batch(spark, tmp_path):
         drop(tmp_path / "in", "b.com", n, texts[n])
     run_index(docs, tmp_path)
     found = streaming.read_streamed_postings(spark, str(tmp_path / "index"), "string")
-    assert found.select("batch").distinct().count() > 1
+    assert len(segments.read_manifest(spark, str(tmp_path / "index"))) > 1
     table = [(f"{'a' if n < 3 else 'b'}.com/doc{n}.json", t) for n, t in texts.items()]
     batch = index.postings(index.normalize(spark.createDataFrame(table, "doc_id string, text string")))
     assert rows(found, "term", "doc_id") == rows(batch, "term", "doc_id")
@@ -45,6 +47,55 @@ def test_repeated_documents_add_nothing(spark, tmp_path):
     assert rows(found, "term", "doc_id") == [("apple", 1), ("apple", 2), ("pear", 1)]
 
 
+def test_changes_and_removals(spark, tmp_path):
+    """After every batch the index equals that of the documents as they are, with few segments."""
+    path = str(tmp_path / "index")
+    rng = np.random.default_rng(3)
+    words = [f"word{n}" for n in range(12)]
+    now = {}
+    for number in range(11):
+        batch = []
+        for doc in rng.choice(15, 4, replace=False).tolist():
+            gone = bool(rng.random() < 0.3)
+            text = " ".join(rng.choice(words, 3))
+            batch.append((doc, text, gone, 2))
+            batch.append((doc, "stale text", not gone, 1))
+            if gone:
+                now.pop(doc, None)
+            else:
+                now[doc] = text
+        frame = spark.createDataFrame(batch, "doc_id bigint, text string, removed boolean, version int")
+        segments.add_batch(frame, number, path, fanout=3)
+        versions = segments.read_manifest(spark, path)
+        last = versions[max(versions)]
+        assert last[-1].last_batch == number and len(last) <= 2 * 3
+        assert [s.first_batch for s in last[1:]] == [s.last_batch + 1 for s in last[:-1]]
+    expected = sorted({(w, d) for d, text in now.items() for w in text.split()}, key=str)
+    assert rows(segments.live_postings(spark, path), "term", "doc_id") == expected
+    assert len(versions) <= 2
+    # The batch is there already; running it again changes nothing.
+    segments.add_batch(frame.limit(0), 10, path)
+    assert rows(segments.live_postings(spark, path), "term", "doc_id") == expected
+
+
+def test_killed_batch_leaves_no_trace(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "index")
+    schema = "doc_id bigint, text string"
+    segments.add_batch(spark.createDataFrame([(1, "apple pear")], schema), 0, path)
+    whole = segments.write_manifest
+
+    def killed(*args):
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(segments, "write_manifest", killed)
+    with pytest.raises(RuntimeError):
+        segments.add_batch(spark.createDataFrame([(1, "plum"), (2, "half")], schema), 1, path)
+    assert rows(segments.live_postings(spark, path), "term", "doc_id") == [("apple", 1), ("pear", 1)]
+    monkeypatch.setattr(segments, "write_manifest", whole)
+    segments.add_batch(spark.createDataFrame([(1, "plum")], schema), 1, path)
+    assert rows(segments.live_postings(spark, path), "term", "doc_id") == [("plum", 1)]
+
+
 @pytest.mark.parametrize("event_time", [None, "at"])
 def test_seen_urls_are_dropped(spark, tmp_path, event_time):
     schema = "url string, at timestamp"

@@ -2,16 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from webloom.operators.index import append_postings, term_postings
-
-POSTINGS_SCHEMA = "term string, doc_id {doc_type}, batch bigint, bucket int"
-# Parts that the postings of each batch are laid out in, by a hash of the document.
-BUCKETS = 64
+from webloom.streaming.segments import FANOUT, add_batch, live_postings
 
 
 def read_document_stream(
@@ -31,27 +26,22 @@ def read_document_stream(
 
 
 def index_stream(
-    docs: DataFrame, index_path: str, checkpoint: str, stem: bool = False, **trigger
+    docs: DataFrame,
+    index_path: str,
+    checkpoint: str,
+    stem: bool = False,
+    fanout: int = FANOUT,
+    **trigger,
 ) -> StreamingQuery:
-    """Keep a postings table up to date with a stream of documents ``(doc_id, text)``.
+    """Keep an index up to date with a stream of documents ``(doc_id, text[, removed][, version])``.
 
-    Each micro-batch adds the postings the table does not have yet and writes them into a
-    directory of its own, one file for each of ``BUCKETS`` buckets of documents at most. A batch
-    that is run again after a failure replaces that directory, so nothing is added twice.
+    Each micro-batch is a segment of its own, segments are merged by levels, and a manifest names
+    those that count; see ``segments``. A batch that is run again after a failure leaves nothing of
+    its first run.
     """
 
-    doc_type = docs.schema["doc_id"].dataType.simpleString()
-    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS)).cast("int")
-
     def add(batch: DataFrame, batch_id: int) -> None:
-        # Only postings in the buckets of the batch's documents can repeat; the scan lists no others.
-        buckets = [r[0] for r in batch.select(bucket).distinct().collect()]
-        known = read_streamed_postings(batch.sparkSession, index_path, doc_type).where(
-            (F.col("batch") != batch_id) & F.col("bucket").isin(buckets)
-        )
-        fresh = append_postings(known, term_postings(batch, stem)).withColumn("bucket", bucket)
-        laid = fresh.repartition(BUCKETS, "bucket").sortWithinPartitions("bucket", "term", "doc_id")
-        laid.write.mode("overwrite").partitionBy("bucket").parquet(f"{index_path}/batch={batch_id}")
+        add_batch(batch, batch_id, index_path, stem, fanout)
 
     return (
         docs.writeStream.foreachBatch(add)
@@ -64,14 +54,8 @@ def index_stream(
 def read_streamed_postings(
     spark: SparkSession, index_path: str, doc_type: str = "bigint"
 ) -> DataFrame:
-    """All postings written so far; an empty table before the first batch."""
-    schema = POSTINGS_SCHEMA.format(doc_type=doc_type)
-    try:
-        return spark.read.schema(schema).parquet(index_path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    """The postings ``(term, doc_id)`` that count now; an empty table before the first batch."""
+    return live_postings(spark, index_path, doc_type)
 
 
 def unseen_urls(links: DataFrame, event_time: str | None = None, within: str | None = None) -> DataFrame:
