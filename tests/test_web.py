@@ -1,6 +1,8 @@
 from datetime import datetime, timedelta
 from urllib.robotparser import RobotFileParser
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -259,3 +261,57 @@ def test_rounds_of_the_closure_keep_their_layout(spark):
     plan = fresh._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert rows(fresh) == [(n,) for n in range(100, 120)]
+
+
+def test_layers_stay_few_and_keep_their_layout(spark):
+    """A chain of 64 rounds: rows read for the seen addresses, and the parts that they lie in."""
+    first = cut_lineage_by(spark.range(1).select(F.col("id").alias("url")), ["url"])
+    layers = fr.Layers(["url"], first)
+    for n in range(1, 64):
+        layers.add(cut_lineage_by(spark.range(n, n + 1).select(F.col("id").alias("url")), ["url"]))
+        assert len(layers.parts) == bin(n + 1).count("1")
+    assert rows(layers.table()) == sorted(((n,) for n in range(64)), key=str)
+    layers.add(first)
+    fresh = spark.range(60, 70).select(F.col("id").alias("url")).join(layers.table().hint("merge"), "url", "left_anti")
+    assert fresh._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_closure_of_a_long_chain(spark):
+    chain = spark.createDataFrame([(f"u{n}", f"u{n + 1}") for n in range(20)], "src_url string, url string")
+    seeds = spark.createDataFrame([("u0",)], "url string")
+    assert dict(rows(fr.crawl_closure(seeds, chain))) == {f"u{n}": n for n in range(21)}
+
+
+def test_crawl_rounds_against_a_loop(spark):
+    rng = random.Random(7)
+    pages = [f"http://h{h}.com/{'news' if p % 3 == 0 else 'page'}{p}" for h in range(4) for p in range(12)]
+    edges = [(s, rng.choice(pages)) for s in pages for _ in range(3)]
+    begin = [(u, u.split("/")[2], 1 if "news" in u else 5, n) for n, u in enumerate(pages[::9])]
+    plan = {"h1.com": START + timedelta(seconds=3)}
+    known, times, done, visits = {u: (p, s, u) for u, _, p, s in begin}, dict(plan), set(), []
+    for number in range(8):
+        now = START + timedelta(seconds=number)
+        heads = {}
+        for u, order in known.items():
+            host = u.split("/")[2]
+            if u not in done and times.get(host, now) <= now and order < heads.get(host, (9, 0, "")):
+                heads[host] = order
+        for host, (_, _, u) in heads.items():
+            visits.append((number, host, u))
+            done.add(u)
+            times[host] = now + timedelta(seconds=1)
+        for _, _, u in heads.values():
+            for s, d in edges:
+                if s == u and d.split("/")[2] == u.split("/")[2] and d not in known:
+                    known[d] = (1 if "news" in d else 5, len(pages[::9]) + number, d)
+    crawl = fr.crawl_rounds(
+        spark.createDataFrame(begin, "url string, host string, priority int, seq bigint"),
+        spark.createDataFrame(edges, "src_url string, url string"),
+        spark.createDataFrame(list(plan.items()), "host string, next_time timestamp"),
+        F.lit(START),
+        8,
+        wait=1,
+    )
+    assert rows(crawl.visits, "round", "host", "url") == sorted(visits, key=str)
+    assert rows(crawl.frontier, "url") == sorted(((u,) for u in known), key=str)
+    assert dict(rows(crawl.schedule)) == times

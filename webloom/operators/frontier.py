@@ -16,7 +16,7 @@ from webloom.functions import urls
 from webloom.functions.fixed_values import POLITENESS_SECONDS, PRIORITY_KEYWORD
 from webloom.operators.links import extract_links, same_domain
 from webloom.operators.skew import HOT_ROWS, join_skewed, numbered
-from webloom.session import cut_lineage, cut_lineage_by
+from webloom.session import cut_lineage_by, cut_lineage_in_place
 
 
 def to_frontier(links: DataFrame, seq: str = "seq", keyword: str = PRIORITY_KEYWORD) -> DataFrame:
@@ -153,32 +153,136 @@ def frontier_round(
     return Round(batch, discovered, updated)
 
 
+class Layers:
+    """A growing table, laid out by ``keys``, in as many parts as its number of additions has binary
+    digits set.
+
+    Two parts of one age are merged, so a row is written O(log n) times in n additions and a reader
+    sees O(log n) parts. All parts have one layout: neither reading nor merging shuffles.
+    """
+
+    def __init__(self, keys: list[str], first: DataFrame):
+        self.keys = keys
+        self.parts: list[tuple[int, DataFrame]] = [(0, first)]
+
+    def add(self, laid: DataFrame) -> None:
+        """Put in a table that ``cut_lineage_by`` has laid out by the keys."""
+        self.parts.append((0, laid))
+        while len(self.parts) > 1 and self.parts[-1][0] == self.parts[-2][0]:
+            (age, newer), (_, older) = self.parts.pop(), self.parts.pop()
+            self.parts.append((age + 1, cut_lineage_in_place(older.unionByName(newer))))
+
+    def table(self) -> DataFrame:
+        return reduce(DataFrame.unionByName, [part for _, part in self.parts])
+
+
 def crawl_closure(
     seeds: DataFrame, edges: DataFrame, max_depth: int | None = None
 ) -> DataFrame:
     """Breadth-first closure of ``seeds (url)`` over ``edges (src_url, url)``: ``(url, depth)``.
 
     Edges should already be filtered (domain, robots); seeds are taken as they are. Every round
-    expands only the addresses first seen in the round before. Rounds are written to the
-    checkpoint folder, which keeps the plan short and survives lost executors. Each is laid out by
-    address there, so a round reads the earlier ones where they are and shuffles its own only.
+    expands only the addresses first seen in the round before, and reads the earlier ones from
+    ``Layers``. Rounds are written to the checkpoint folder, which keeps the plan short and survives
+    lost executors. All are laid out by address there, so a round shuffles its own addresses only.
     """
     pairs = edges.select("src_url", "url").distinct()
     # Laid out by source once, so that a round shuffles its own addresses only.
     by_source = cut_lineage_by(pairs, ["src_url"])
     new = cut_lineage_by(seeds.select("url").distinct().withColumn("depth", F.lit(0)), ["url"])
-    rounds = [new]
-    while max_depth is None or len(rounds) <= max_depth:
-        # A union of tables in one layout keeps it.
-        seen = reduce(DataFrame.unionByName, rounds).select("url")
+    seen, depth = Layers(["url"], new), 0
+    while max_depth is None or depth < max_depth:
+        depth += 1
         reached = (
             by_source.join(new.select(F.col("url").alias("src_url")), "src_url", "left_semi")
             .select("url")
             .distinct()
-            .join(seen, "url", "left_anti")
+            .join(seen.table().select("url"), "url", "left_anti")
         )
-        new = cut_lineage_by(reached.withColumn("depth", F.lit(len(rounds))), ["url"])
+        new = cut_lineage_by(reached.withColumn("depth", F.lit(depth)), ["url"])
         if new.isEmpty():
             break
-        rounds.append(new)
-    return reduce(DataFrame.unionByName, rounds)
+        seen.add(new)
+    return seen.table()
+
+
+@dataclass
+class Crawl:
+    """What a crawl of several rounds leaves behind."""
+
+    visits: DataFrame  # (round, host, url, priority, visited)
+    frontier: DataFrame  # (host, url, priority, seq): all addresses ever put in
+    schedule: DataFrame  # (host, next_time)
+
+
+def crawl_rounds(
+    frontier: DataFrame,
+    edges: DataFrame,
+    schedule: DataFrame,
+    start: Column,
+    rounds: int,
+    wait: int = POLITENESS_SECONDS,
+    keyword: str = PRIORITY_KEYWORD,
+) -> Crawl:
+    """Drive a crawl from ``start`` over ``rounds`` rounds, ``wait`` seconds apart.
+
+    In each round every host that is ready gives its first open address by priority, age and name.
+    The links ``edges (src_url, url)`` of what was fetched that stay on their host and are new are
+    put in, aged by the round; the host is ready again ``wait`` seconds later. Hosts that the schedule
+    does not know are ready at once; rounds in which nobody is ready pass. The round that finds
+    nothing open any more is the last.
+
+    Frontier, visits and schedule are logs in ``Layers``, laid out by host, and the edges are laid out
+    by source once. So a round reads the state where it lies and shuffles its own batch and the
+    links of that only. Every step is written to the checkpoint folder.
+    """
+    by_source = cut_lineage_by(
+        edges.where(urls.host(F.col("src_url")) == urls.host(F.col("url"))).select("src_url", "url").distinct(),
+        ["src_url"],
+    )
+    known = Layers(["host"], cut_lineage_by(frontier.select("host", "url", "priority", "seq"), ["host"]))
+    times = Layers(["host"], cut_lineage_by(schedule.select("host", "next_time"), ["host"]))
+    # No address is older than those of the start.
+    age = (frontier.select(F.max("seq")).first()[0] or 0) + 1
+    none = cut_lineage_by(frontier.select("host", "url", "priority").limit(0), ["host"])
+    fetched = Layers(["host"], none)
+    visits = []
+    for number in range(rounds):
+        now = start + F.make_dt_interval(secs=F.lit(number * wait))
+        done = fetched.table().select("host", "url", F.lit(None).cast("int").alias("priority"), F.lit(None).cast("bigint").alias("seq"), F.lit(1).alias("done"))
+        every = known.table().select("host", "url", F.col("priority").cast("int").alias("priority"), F.col("seq").cast("bigint").alias("seq"), F.lit(0).alias("done"))
+        # Addresses of a host lie together, so both groupings stay where the rows are.
+        open_urls = every.unionByName(done).groupBy("host", "url").agg(
+            F.min("priority").alias("priority"), F.min("seq").alias("seq"), F.max("done").alias("done")
+        ).where("done = 0")
+        first = open_urls.groupBy("host").agg(F.min(F.struct("priority", "seq", "url")).alias("pick"))
+        ready = times.table().groupBy("host").agg(F.max("next_time").alias("next_time"))
+        found = first.join(ready, "host", "left").select("host", "pick.url", "pick.priority", "next_time")
+        heads = cut_lineage_in_place(found)
+        if heads.isEmpty():
+            break
+        batch = cut_lineage_in_place(
+            heads.where(F.col("next_time").isNull() | (F.col("next_time") <= now)).select("host", "url", "priority")
+        )
+        visits.append(batch.select(F.lit(number).alias("round"), "host", "url", "priority", now.alias("visited")))
+        fetched.add(batch)
+        times.add(
+            cut_lineage_in_place(batch.select("host", (now + F.make_dt_interval(secs=F.lit(wait))).alias("next_time")))
+        )
+        links = by_source.join(batch.select(F.col("url").alias("src_url")), "src_url", "left_semi").select("url").distinct()
+        linked = cut_lineage_by(links.select(urls.host(F.col("url")).alias("host"), "url"), ["host"])
+        both = linked.withColumn("old", F.lit(0)).unionByName(known.table().select("host", "url", F.lit(1).alias("old")))
+        fresh = both.groupBy("host", "url").agg(F.max("old").alias("old")).where("old = 0")
+        known.add(
+            cut_lineage_in_place(
+                fresh.select(
+                    "host",
+                    "url",
+                    urls.priority(F.col("url"), keyword).alias("priority"),
+                    F.lit(age + number).cast("bigint").alias("seq"),
+                )
+            )
+        )
+    empty = none.select(F.lit(0).alias("round"), "host", "url", "priority", start.alias("visited"))
+    latest = times.table().groupBy("host").agg(F.max("next_time").alias("next_time"))
+    return Crawl(reduce(DataFrame.unionByName, [empty, *visits]), known.table(), latest)

@@ -434,6 +434,70 @@ def frontier_round(spark, sf_dir):
     return fetched.union(discovered).union(schedule)
 
 
+ROUNDS = 6
+# Every round's batch and what it finds, one after the other.
+for _n in range(ROUNDS):
+    _known = "(SELECT host, url, priority, seq FROM frontier" + "".join(
+        f" UNION ALL SELECT host, url, priority, seq FROM crawl_found_{m}" for m in range(_n)
+    ) + ")"
+    _done = "".join(f" AND k.url NOT IN (SELECT url FROM crawl_batch_{m})" for m in range(_n))
+    _times = "(SELECT host, next_time FROM schedule" + "".join(
+        f" UNION ALL SELECT host, {MIDDLE_TIME} + to_seconds({m + 1}) FROM crawl_batch_{m}" for m in range(_n)
+    ) + ")"
+    _before = [f"crawl_{kind}_{m}" for m in range(_n) for kind in ("batch", "found")]
+    part(
+        f"crawl_batch_{_n}",
+        f"""
+SELECT k.host, unnest(min(row(k.priority, k.seq, k.url)), max_depth := 2), any_value(t.next_time) AS ready
+FROM {_known} k(host, url, priority, seq)
+LEFT JOIN (SELECT host, max(next_time) AS next_time FROM {_times} GROUP BY host) t ON t.host = k.host
+WHERE (t.next_time IS NULL OR t.next_time <= {MIDDLE_TIME} + to_seconds({_n})){_done}
+GROUP BY k.host""".replace("unnest(min(row(k.priority, k.seq, k.url)), max_depth := 2)",
+            "min({'p': k.priority, 's': k.seq, 'u': k.url}).p AS priority, min({'p': k.priority, 's': k.seq, 'u': k.url}).u AS url"),
+        "frontier",
+        "schedule",
+        *_before,
+    )
+    part(
+        f"crawl_found_{_n}",
+        f"""
+SELECT DISTINCT regexp_extract(url, '{HOST}', 1) AS host, url,
+  CASE WHEN contains(url, 'news') THEN 1 ELSE 5 END AS priority,
+  (SELECT max(seq) FROM frontier) + 1 + {_n} AS seq
+FROM links WHERE src_url IN (SELECT url FROM crawl_batch_{_n})
+  AND regexp_extract(url, '{HOST}', 1) = regexp_extract(src_url, '{HOST}', 1)
+  AND url NOT IN (SELECT k.url FROM {_known} k(host, url, priority, seq))""",
+        "links",
+        "frontier",
+        f"crawl_batch_{_n}",
+        *_before,
+    )
+
+
+@query(
+    "crawl_rounds",
+    oracle(
+        " UNION ALL ".join(
+            f"""SELECT {n} AS round, 'visit' AS kind, host, url, priority::INTEGER AS priority FROM crawl_batch_{n}
+UNION ALL SELECT {n}, 'found', host, url, priority FROM crawl_found_{n}"""
+            for n in range(ROUNDS)
+        ),
+        *[f"crawl_{kind}_{n}" for n in range(ROUNDS) for kind in ("batch", "found")],
+    ),
+)
+def crawl_rounds(spark, sf_dir):
+    """Six rounds over the links of all pages: what each fetches and what it puts into the frontier."""
+    start = b.stored_frontier(spark, sf_dir)
+    edges = b.stored_links(spark, sf_dir)
+    crawl = fr.crawl_rounds(start, edges, b.schedule(spark, sf_dir), b.middle_time(spark, sf_dir), ROUNDS)
+    last = start.select(F.max("seq")).scalar()
+    found = crawl.frontier.select(
+        (F.col("seq") - last - 1).cast("int").alias("round"), F.lit("found").alias("kind"), "host", "url", "priority"
+    ).where("round >= 0")
+    visits = crawl.visits.select("round", F.lit("visit").alias("kind"), "host", "url", "priority")
+    return visits.unionByName(found)
+
+
 part(
     "closure_edges",
     f"""

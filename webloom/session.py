@@ -62,13 +62,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def cut_lineage_by(df: DataFrame, keys: list[str]) -> DataFrame:
     """Like ``cut_lineage``, with the rows hash-partitioned by ``keys`` in a way later joins on
-    those keys know of. An adaptive plan does not report its layout, so this one write goes
-    without."""
+    those keys know of."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut_lineage_in_place(df.repartition(parts, *keys))
+
+
+def cut_lineage_in_place(df: DataFrame) -> DataFrame:
+    """Like ``cut_lineage``, in the layout that ``df`` has, which later plans know of. An adaptive plan
+    does not report its layout, so this one write goes without."""
     conf = df.sparkSession.conf
     adaptive = conf.get("spark.sql.adaptive.enabled")
     conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        parts = int(conf.get("spark.sql.shuffle.partitions"))
-        return cut_lineage(df.repartition(parts, *keys))
+        return cut_lineage(df)
     finally:
         conf.set("spark.sql.adaptive.enabled", adaptive)
