@@ -118,3 +118,26 @@ def test_seen_urls_are_dropped(spark, tmp_path, event_time):
     links.unionByName(links.withColumn("url", F.lit("u3"))).write.mode("append").parquet(path)
     run()
     assert rows(spark.read.parquet(out), "url") == [("u1",), ("u2",), ("u3",)]
+
+
+def test_seen_addresses_lie_on_disk_and_outlive_a_restart(spark, tmp_path):
+    schema = "url string, page int"
+    source, out, state = (str(tmp_path / n) for n in ("links", "out", "state"))
+
+    def run():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+        query = streaming.deliver_unseen(stream, out, state)
+        query.awaitTermination(120)
+        return [p for p in query.recentProgress if p["stateOperators"]]
+
+    spark.range(500).selectExpr("concat('u', id % 300) AS url", "1 AS page").coalesce(1).write.parquet(source)
+    first = run()
+    spark.range(600).selectExpr("concat('u', id) AS url", "2 AS page").coalesce(1).write.mode("append").parquet(source)
+    spark.createDataFrame([(None, 3), (None, 4), ("", 5)], schema).coalesce(1).write.mode("append").parquet(source)
+    second = run()
+    found = spark.read.schema(schema).parquet(out)
+    assert found.count() == 602 and found.select("url").distinct().count() == 602
+    assert found.where("page = 1").count() == 300
+    for progress in (first[-1], second[-1]):
+        assert any("rocksdb" in name.lower() for name in progress["stateOperators"][0]["customMetrics"])
+    assert second[-1]["stateOperators"][0]["numRowsTotal"] == 602

@@ -61,12 +61,37 @@ def read_streamed_postings(
 def unseen_urls(links: DataFrame, event_time: str | None = None, within: str | None = None) -> DataFrame:
     """Drop addresses a link stream has delivered before.
 
-    Without ``event_time`` every address is remembered for good. With it, state is dropped once an
-    address is older than ``within``, which bounds the state of an endless stream; there is no
+    Without ``event_time`` every address is remembered for good, as a 128-bit digest; started by
+    ``deliver_unseen``, that state lies on disk and not in the heap. With it, state is dropped once
+    an address is older than ``within``, which bounds the state of an endless stream; there is no
     default for it, as an address that comes again later is delivered again.
     """
     if (event_time is None) != (within is None):
         raise ValueError("event_time and within go together")
     if event_time is None:
-        return links.dropDuplicates(["url"])
+        # Null addresses are one address, as in a table without repeats.
+        digest = F.unhex(F.md5(F.coalesce(F.concat(F.lit("u"), "url"), F.lit(""))))
+        return links.withColumn("_digest", digest).dropDuplicates(["_digest"]).drop("_digest")
     return links.withWatermark(event_time, within).dropDuplicatesWithinWatermark(["url"])
+
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def deliver_unseen(links: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Write the addresses of a link stream, each once for all time, as Parquet below ``path``.
+
+    The digests of what was delivered lie in RocksDB: on the executors' disks, with a log of changes
+    in ``checkpoint``, from which a restarted query goes on. A query keeps the state store that the
+    session names when it starts; the setting is put back at once.
+    """
+    own = links.sparkSession
+    before = own.conf.get(STATE_STORE, None)
+    own.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        writer = unseen_urls(links).writeStream.format("parquet").option("path", path)
+        writer = writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True}))
+        return writer.start()
+    finally:
+        own.conf.set(STATE_STORE, before) if before else own.conf.unset(STATE_STORE)
