@@ -1,4 +1,7 @@
+from collections import Counter
 from datetime import datetime, timedelta
+from hashlib import md5
+from math import log
 from urllib.robotparser import RobotFileParser
 
 import random
@@ -315,3 +318,26 @@ def test_crawl_rounds_against_a_loop(spark):
     assert rows(crawl.visits, "round", "host", "url") == sorted(visits, key=str)
     assert rows(crawl.frontier, "url") == sorted(((u,) for u in known), key=str)
     assert dict(rows(crawl.schedule)) == times
+
+
+def test_draw_follows_the_weights(spark):
+    """First draws over many seeds: priorities as 1/rank, addresses of one priority alike."""
+    urls_ = [(f"http://h.com/{p}/{n}", "h.com", p, n) for p, size in ((1, 5), (5, 40), (9, 2)) for n in range(size)]
+    frontier = spark.createDataFrame(urls_, "url string, host string, priority int, seq bigint")
+    keyed = [fr.draw_key(frontier, str(seed)).collect() for seed in range(2)]
+    assert [r["key"] for r in keyed[0]] != [r["key"] for r in keyed[1]]
+    sizes, rank = {1: 5, 5: 40, 9: 2}, {1: 1, 5: 2, 9: 3}
+    first = Counter()
+    for seed in range(4000):
+        key = {}
+        for url, _, p, _ in urls_:
+            unit = (int(md5(f"{seed}{url}".encode()).hexdigest()[:13], 16) + 0.5) / 16**13
+            key[url] = (-log(unit) * rank[p] * sizes[p], p)
+        if seed < 2:
+            assert {r["url"]: r["key"] for r in keyed[seed]} == pytest.approx({u: k for u, (k, _) in key.items()})
+        first[min(key.values())[1]] += 1
+    total = 1 + 1 / 2 + 1 / 3
+    for p in sizes:
+        assert first[p] / 4000 == pytest.approx(1 / rank[p] / total, abs=0.03)
+    drawn = fr.weighted_draw(frontier, 12, "7").collect()
+    assert [r["place"] for r in sorted(drawn)] == list(range(1, 13)) and len({r["url"] for r in drawn}) == 12

@@ -57,6 +57,30 @@ def quota_batch(frontier: DataFrame, batch: int, **options) -> DataFrame:
     return first.join(priority_quotas(frontier, batch), "priority").where("place <= quota")
 
 
+def draw_key(frontier: DataFrame, seed: str) -> DataFrame:
+    """``frontier`` with the exponential ``key`` of a weighted draw: the smallest keys are drawn.
+
+    A priority of rank r has weight 1/r, shared by its addresses. The key is minus the logarithm of
+    a number in (0, 1), a digest of seed and address, over the weight, so it is the same in every run.
+    """
+    sizes = frontier.groupBy("priority").agg(F.count(F.lit(1)).alias("_size"))
+    # One row for each priority; numbered without gathering them in a window over all.
+    ranked = numbered(sizes, ["priority"], "_rank")
+    digest = F.conv(F.substring(F.md5(F.concat(F.lit(seed), "url")), 1, 13), 16, 10).cast("double")
+    unit = (digest + 0.5) / F.lit(float(16**13))
+    joined = join_skewed(frontier, ranked, ["priority"])
+    return joined.withColumn("key", -F.log(unit) * F.col("_rank") * F.col("_size")).drop("_rank", "_size")
+
+
+def weighted_draw(frontier: DataFrame, batch: int, seed: str = "0") -> DataFrame:
+    """``batch`` addresses of the frontier, drawn without replacement in proportion to their weight,
+    in the order of the draw: ``(place, url, host, priority)``. A distributed top-k; the batch is what
+    a round fetches, and only that is numbered."""
+    drawn = draw_key(frontier, seed).orderBy("key", "url").limit(batch)
+    placed = numbered(drawn, ["key", "url"], "place")
+    return placed.select("place", "url", "host", "priority")
+
+
 def crawl_schedule(
     frontier: DataFrame,
     base_time: Column,

@@ -307,6 +307,23 @@ def frontier_quota(spark, sf_dir):
     return batch.select("priority", "quota", "url", "place")
 
 
+@query(
+    "frontier_draw",
+    oracle(
+        """SELECT row_number() OVER (ORDER BY key, url) AS place, url, host, priority FROM (
+  SELECT url, host, priority, -ln((('0x' || substr(md5('draw' || url), 1, 13))::BIGINT::DOUBLE + 0.5)
+    / 4503599627370496.0::DOUBLE) * rank * size AS key
+  FROM frontier JOIN (SELECT priority, count(*) AS size, row_number() OVER (ORDER BY priority) AS rank
+    FROM frontier GROUP BY priority) USING (priority)
+  ORDER BY key, url LIMIT 100)""",
+        "frontier",
+    ),
+)
+def frontier_draw(spark, sf_dir):
+    """A batch of 100 addresses, drawn by the weights of their priorities."""
+    return fr.weighted_draw(b.stored_frontier(spark, sf_dir), 100, seed="draw")
+
+
 def schedule_sql(direction: str) -> str:
     return oracle(
         f"""SELECT host, url, priority, slot,
