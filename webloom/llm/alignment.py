@@ -27,7 +27,7 @@ from webloom.llm.vocab import (
 # Linked id pairs whose counts are broadcast: at 13 bytes each, 50 MB. More are joined.
 BROADCAST_PAIRS = 4_000_000
 # Units that a worker keeps.
-KEPT = 400_000
+KEPT = 200_000
 # An id pair is one number, the A id times this plus the B id.
 PAIR = 1 << 15
 STATS = ("n_a", "n_b", "n_groups", "n_links", "n_overlaps")
