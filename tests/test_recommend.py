@@ -294,3 +294,14 @@ def test_als(ratings):
         F.col("user_id").cast("int"), F.col("item_id").cast("int"), "rating"))
     assert found.count() == len(RATINGS)
     assert found.select(F.avg(F.abs(F.col("rating") - F.col("prediction")))).first()[0] < 0.5
+
+
+def test_each_epoch_deals_new_batches(spark):
+    pairs = spark.range(40).select(F.col("id").alias("user_id")).crossJoin(spark.range(50).select(F.col("id").alias("item_id")))
+    dealt = pairs.select(*[fz.batch_number(epoch, 4).alias(f"e{epoch}") for epoch in range(3)]).toPandas()
+    for epoch in range(3):
+        assert (dealt[f"e{epoch}"].value_counts() / 2000).between(0.2, 0.3).all()
+    # Two epochs agree on a quarter of the ratings, and no batch of one is a batch of the other.
+    for a, b in ((0, 1), (1, 2), (0, 2)):
+        table = pd.crosstab(dealt[f"e{a}"], dealt[f"e{b}"])
+        assert table.shape == (4, 4) and table.min().min() > 60

@@ -366,7 +366,8 @@ factor_parts("mini", "splits", 0.1)
 for step in range(4):
     part(
         f"batch{step}",
-        f"SELECT * FROM train WHERE (user_id * 31 + item_id * 17 + {7 * (step // 2)}) % 2 = {step % 2}",
+        "SELECT * FROM train WHERE ('0x' || substr(md5(concat_ws(',', "
+        f"{step // 2}, user_id, item_id)), 1, 8))::BIGINT % 2 = {step % 2}",
         "train",
         "mini0",
     )
