@@ -204,7 +204,7 @@ def test_similarity_join_against_brute_force(spark):
     for _ in links:
         root = {h: min([root[h], *(root[o] for o in links[h])]) for h in links}
     want = {i: (root[copy[i]], copy[i], len(links[copy[i]])) for i in texts}
-    for block in (256, 2):  # all buckets whole, and cut into blocks
+    for block in (256, 4, 2):  # all buckets whole, longer prefixes in crowded nodes, and cut into blocks
         got = forest_join.similarity_classes(docs, block=block).collect()
         assert {r["doc_id"]: (r["class_id"], r["copy_id"], r["n_links"]) for r in got} == want
 
@@ -217,6 +217,61 @@ def test_prefixes_shorten_until_the_recall():
         forest_join.prefix_length(0.1, 0.999, 2)
 
 
+def test_similarity_join_of_a_large_group_of_near_copies(spark):
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(400)}" for _ in range(150)]
+    texts = {}
+    for i in range(160):
+        mine = list(base)
+        for _ in range(rng.randrange(1, 5)):
+            mine[rng.randrange(len(mine))] = f"new{rng.randrange(999)}"
+        texts[i] = " ".join(mine)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    copy, links = jaccard_truth(texts)
+    want = {i: len(links[copy[i]]) for i in texts}
+    for block in (2048, 40):
+        got = {r["doc_id"]: r["n_links"] for r in forest_join.similarity_classes(docs, block=block).collect()}
+        assert sum(got.values()) >= 0.995 * sum(want.values())
+        assert all(got[i] <= want[i] for i in want)
+
+
+def test_prefixes_of_crowded_nodes_are_longer(spark):
+    members = np.arange(1, 200, dtype=np.uint64)
+    short = forest_join.labels(members, 12, 3, 3, 6).reshape(12, 1)
+    deep = forest_join.labels(members, 26, 3, 6, 6).reshape(26, 4)
+    assert (short[:, 0] == deep[:12, 0]).all()
+    sets = spark.createDataFrame(
+        [(bytes([i]), i, 10, [7, 100 + i // 2]) for i in range(6)],
+        "print binary, rep bigint, size bigint, keys array<bigint>",
+    )
+    # Two trees of three levels: the first node of the first tree is crowded; 0 to 2 part at the second
+    # level, 3 to 5 stay together to the end. A third tree makes up for the recall.
+    deep = spark.createDataFrame(
+        [
+            (bytes([i]), [7, 20 + i if i < 3 else 20, 30 + i if i < 3 else 30, 100 + i // 2, 0, 0, 50, 51, 52 + i])
+            for i in range(6)
+        ],
+        "print binary, deep array<bigint>",
+    )
+    rows = forest_join.node_rows(sets)
+    made = forest_join.longer_prefixes(sets, rows, lambda asked: deep, 2, 3, 3, 2)
+    keys = {r["rep"]: list(r["keys"]) for r in made.collect()}
+    assert keys[1] == [21, 100, 53] and keys[2] == [22, 101, 54]
+    assert [keys[i][0] for i in (3, 4, 5)] == [30, 30, 30]
+    assert forest_join.longer_prefixes(sets, rows, lambda asked: deep, 2, 3, 3, 6) is None
+
+
+def test_one_id_with_two_texts(spark):
+    a, b = "one two three four five six seven", "eight nine ten eleven twelve thirteen"
+    docs = spark.createDataFrame([(0, a), (1, a), (1, b), (None, a)], "doc_id bigint, text string")
+    kept = forest_join.first_of_each_class(docs).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"], r["text"]) for r in kept if r["doc_id"] is not None) == [
+        (False, 0, a),
+        (False, 1, b),
+    ]
+    assert len(kept) == 3
+
+
 def test_shards_are_contiguous_and_even(spark):
     rng = random.Random(2)
     rows = [(i, "é" * rng.randrange(200)) for i in range(2000)]
