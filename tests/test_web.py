@@ -4,7 +4,9 @@ from hashlib import md5
 from math import log
 from urllib.robotparser import RobotFileParser
 
+import itertools
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +15,7 @@ from tests.conftest import rows
 from webloom.operators import frontier as fr
 from webloom.operators import links as ln
 from webloom.operators import robots as rb
+from webloom.operators.robots_index import prefix_chains
 from webloom.session import cut_lineage_by
 
 PAGES = [
@@ -166,6 +169,64 @@ def test_facts_agree_with_standard_parser(robots, link_table, agent):
     assert facts == {h: (p.crawl_delay(agent), p.site_maps()) for h, p in parsers.items()}
 
 
+def wildcard_regex(path):
+    body = ".*".join(re.escape(piece) for piece in path.removesuffix("$").split("*"))
+    return re.compile(body + ("$" if path.endswith("$") else ""), re.DOTALL)
+
+
+WILD = [
+    "/", "/a", "/a*", "/a*b", "/*b$", "*", "*$", "$", "/$", "/a$b", "/ab*ab$", "/a**c", "/*/c$", "/é*é", "/a.c", "/a*$",
+    "/ab", "/abc", "/abd*", "b", "*b*a*b$",
+]
+
+
+def test_patterns_agree_with_regular_expressions(spark):
+    targets = ["/" + "".join(t) for n in range(4) for t in itertools.product("abc.é/", repeat=n)]
+    hosts = {f"h{n}.dk": path for n, path in enumerate(WILD)}
+    links = spark.createDataFrame([(f"http://{h}{t}",) for h in hosts for t in targets] + [(None,)], "url string")
+    rules = spark.createDataFrame(
+        [(h, "*", 0, p) for h, p in hosts.items()], "host string, agent string, line_no int, path string"
+    )
+    kept = {u for (u,) in rb.robots_allowed(links, rules, wildcards=True).collect()}
+    free = {f"http://{h}{t}" for h, p in hosts.items() for t in targets if not wildcard_regex(p).match(t)}
+    assert kept == {None} | free
+
+
+def test_longest_rule_decides(spark):
+    lines = [("Allow" if len(p) % 2 else "Disallow", p) for p in WILD]
+    text = "User-agent: *\n" + "\n".join(f"{key}: {path}" for key, path in lines)
+    robots = spark.createDataFrame([("h.dk", text), ("e.dk", "")], "host string, robots_txt string")
+    targets = ["/" + "".join(t) for n in range(4) for t in itertools.product("abc.é/", repeat=n)]
+    found = [("http://h.dk" + t, i) for i, t in enumerate(targets)]
+    links = spark.createDataFrame([*found, found[0], ("http://e.dk/", 1), (None, 2)], "url string, _index int")
+    got = rb.robots_longest(links.drop("_index"), robots, "Any").collect()
+    assert len(got) == len(found) + 3
+    verdicts = {r.url: (r.can_fetch, r.rule) for r in got}
+    assert verdicts[None] == verdicts["http://e.dk/"] == (True, None)
+    for target in targets:
+        fits = [(len(p.encode()), k == "Allow", p) for k, p in lines if wildcard_regex(p).match(target)]
+        best = max(fits, default=(0, True, None))
+        assert verdicts["http://h.dk" + target] == best[1:], target
+
+
+def test_host_with_fifty_thousand_rules(spark):
+    paths = [f"/{n % 700}/{n:x}{'/' if n % 3 else ''}" for n in range(50_000)]
+    rules = spark.createDataFrame([("big.dk", "*", n, p) for n, p in enumerate(paths)], "host string, agent string, line_no int, path string")
+    targets = [p + tail for p in paths[::25] for tail in ("", "x", "/y")] + [f"/{n}/zz" for n in range(700)]
+    links = spark.createDataFrame([("http://big.dk" + t,) for t in targets], "url string")
+    known = set(paths)
+    cuts = {t: any(t[:n] in known for n in range(1, len(t) + 1)) for t in targets}
+    kept = sorted(u for (u,) in rb.robots_allowed(links, rules).collect())
+    assert kept == sorted("http://big.dk" + t for t in targets if not cuts[t])
+    exact = sorted(u for (u,) in rb.robots_allowed(links, rules, match="exact").collect())
+    assert exact == sorted("http://big.dk" + t for t in targets if t not in known)
+
+
+def test_prefix_chains():
+    assert prefix_chains(["", "/a", "/a/b", "/a/c", "/b"]) == [[0], [0, 1], [0, 1, 2], [0, 1, 3], [0, 4]]
+    assert prefix_chains([]) == []
+
+
 # --- frontier --------------------------------------------------------------------------------
 
 START = datetime(2024, 1, 1)

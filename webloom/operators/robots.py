@@ -6,11 +6,12 @@ that value, so windows by host and rule lists by host stay small however many pa
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from webloom.functions import urls
 from webloom.functions.text import strip_space
+from webloom.operators.robots_index import fitting, indexed_rules, pattern_head, pattern_tail, tail_fits
 from webloom.operators.skew import join_skewed
 
 
@@ -78,28 +79,22 @@ def robots_rules(
     return known.where(F.col("path").isNotNull()).select("host", "agent", "line_no", "path")
 
 
-def _rule_lists(rules: DataFrame, wildcards: bool = False) -> DataFrame:
-    """One row for each host: its rule paths, bounded by the robots text they come from.
+def _rule_lists(rules: DataFrame, match: str, wildcards: bool) -> DataFrame:
+    """One row for each host: its rules as ``indexed_rules``, bounded by the robots text they come from.
 
-    ``_starts`` holds what the part of an address after the host starts with if the rule hits;
-    rules that do not begin with one slash depend on the address and stay in ``_odd``.
+    A prefix rule is indexed by what the part of an address after the host starts with if the rule
+    hits; rules that do not begin with one slash depend on the address and stay in ``_odd``.
     """
     path = F.col("path")
+    if match == "exact":
+        return indexed_rules(rules, path, path)
+    if wildcards:
+        return indexed_rules(rules, pattern_head(path), pattern_tail(path))
     rooted = F.startswith(path, F.lit("/")) & ~F.startswith(path, F.lit("//"))
     start = urls.resolve(F.lit("http://h"), path).substr(F.lit(len("http://h") + 1), F.length(path))
-    return rules.groupBy("host").agg(
-        F.collect_set(_wildcard_pattern(path) if wildcards else path).alias("_paths"),
-        F.collect_set(F.when(rooted, start)).alias("_starts"),
-        F.collect_set(F.when(~rooted, path)).alias("_odd"),
-    )
-
-
-def _wildcard_pattern(path: Column) -> Column:
-    """Regular expression of a rule path with ``*`` as any run and a final ``$`` as the end."""
-    quoted = F.regexp_replace(path, r"([\\.\[\]{}()+?^|])", r"\\$1")
-    starred = F.replace(quoted, F.lit("*"), F.lit(".*"))
-    inner = F.replace(F.regexp_replace(starred, r"\$$", "\u0000"), F.lit("$"), F.lit("\\$"))
-    return F.concat(F.lit("^"), F.replace(inner, F.lit("\u0000"), F.lit("$")))
+    listed = indexed_rules(rules.where(rooted), start, path)
+    odd = rules.where(~rooted).groupBy("host").agg(F.collect_set(path).alias("_odd"))
+    return listed.join(odd, "host", "full")
 
 
 def robots_allowed(
@@ -112,26 +107,23 @@ def robots_allowed(
     """Links that no rule of their host forbids.
 
     ``match="prefix"`` forbids addresses that start with a rule path, ``match="exact"`` only the
-    path itself. Rules come as one row for each host, so the join never multiplies links, and a
-    host with very many links is salted.
+    path itself; with ``wildcards`` a rule may hold ``*`` for any run and a final ``$`` for the end.
+    Rules come as one sorted row for each host, which an address searches by halves; the join never
+    multiplies links, and a host with very many links is salted.
     """
-    hosted = links.withColumn("_host", urls.host(F.col("url")))
-    listed = _rule_lists(rules, wildcards).withColumnRenamed("host", "_host")
-    joined = join_skewed(hosted, listed, ["_host"], "left", **skew_options)
+    if match not in ("prefix", "exact"):
+        raise ValueError("match must be 'prefix' or 'exact'")
+    joined = _with_rules(links, _rule_lists(rules, match, wildcards), skew_options)
+    url, no = F.col("url"), F.lit(False)
     if match == "exact":
-        hit = F.array_contains("_paths", urls.path(F.col("url")))
-    elif match == "prefix" and wildcards:
-        target = urls.path_and_query(F.col("url"))
-        hit = F.exists("_paths", lambda pattern: F.regexp_like(target, pattern))
-    elif match == "prefix":
-        url, target = F.col("url"), F.col("_target")
-        joined = joined.withColumn("_target", urls.after_host(url))
-        hit = F.exists("_starts", lambda start: F.startswith(target, start)) | F.exists(
-            "_odd", lambda path: F.startswith(url, urls.resolve(url, path))
-        )
+        hit = F.coalesce(F.array_contains(fitting(urls.path(url)), urls.path(url)), no)
+    elif wildcards:
+        target = urls.path_and_query(url)
+        hit = F.coalesce(F.exists(fitting(target), lambda tail: tail_fits(tail, target)), no)
     else:
-        raise ValueError("match must be 'prefix' or 'exact'")
-    return joined.where(~F.coalesce(hit, F.lit(False))).select(*links.columns)
+        below_folder = F.exists("_odd", lambda path: F.startswith(url, urls.resolve(url, path)))
+        hit = F.coalesce(F.size(fitting(urls.after_host(url))) > 0, no) | F.coalesce(below_folder, no)
+    return joined.where(~hit).select(*links.columns)
 
 
 # --- facts as a standard robots parser reports them ------------------------------------------
@@ -201,18 +193,50 @@ def robots_can_fetch(
     """``links`` with ``can_fetch``: the first rule that fits the address decides, default true."""
     lines = _chosen_entries(robots, agent).where(F.col("key").isin("allow", "disallow"))
     allow = (F.col("key") == "allow") | (F.col("value") == "")
-    rule = F.struct("line_no", allow.alias("allow"), F.col("value").alias("path"))
-    listed = lines.groupBy(F.col("host").alias("_host")).agg(
-        F.sort_array(F.collect_list(rule)).alias("_rules")
+    head = F.when(F.col("value") == "*", F.lit("")).otherwise(F.col("value"))
+    listed = indexed_rules(lines, head, F.struct("line_no", allow.alias("allow")))
+    target = urls.path_and_query(urls.percent_decoded(F.col("url")))
+    joined = _with_rules(links, listed, skew_options)
+    verdict = F.coalesce(F.array_min(fitting(target))["allow"], F.lit(True))
+    return joined.select(*links.columns, verdict.alias("can_fetch"))
+
+
+def robots_longest(
+    links: DataFrame, robots: DataFrame, agent: str, **skew_options
+) -> DataFrame:
+    """``links`` with ``can_fetch`` and ``rule``: among the rules that fit, with ``*`` and ``$``, the one
+    of most bytes decides; of equally long ones an allowing one, then the greater text. Without a
+    fitting rule, a host or an address, ``can_fetch`` is true and ``rule`` null.
+
+    Columns of ``links`` must not be named ``can_fetch`` or ``rule``; repeated links stay as they are.
+    """
+    lines = _chosen_entries(robots, agent).where(
+        F.col("key").isin("allow", "disallow") & (F.col("value") != "")
     )
-    hosted = links.withColumn("_host", urls.host(F.col("url")))
-    joined = join_skewed(hosted, listed, ["_host"], "left", **skew_options)
+    path = F.col("value")
+    rank = F.struct(
+        F.octet_length(path).alias("bytes"),
+        (F.col("key") == "allow").alias("allow"),
+        path.alias("path"),
+    )
+    entry = F.struct(rank.alias("rank"), pattern_tail(path).alias("tail"))
+    listed = indexed_rules(lines, pattern_head(path), entry)
     target = urls.path_and_query(urls.percent_decoded(F.col("url")))
-    fits = F.filter(
-        "_rules", lambda r: (r["path"] == "*") | F.startswith(target, r["path"])
+    fits = F.filter(fitting(target), lambda e: tail_fits(e["tail"], target))
+    best = F.array_max(F.transform(fits, lambda e: e["rank"]))
+    decided = _with_rules(links, listed, skew_options).withColumn("_best", best)
+    return decided.select(
+        *links.columns,
+        F.coalesce(F.col("_best.allow"), F.lit(True)).alias("can_fetch"),
+        F.col("_best.path").alias("rule"),
+    )
+
+
+def _with_rules(links: DataFrame, listed: DataFrame, skew_options: dict) -> DataFrame:
+    hosted = links.withColumn("_host", urls.host(F.col("url")))
+    return join_skewed(
+        hosted, listed.withColumnRenamed("host", "_host"), ["_host"], "left", **skew_options
     )
-    verdict = F.coalesce(F.get(fits, 0)["allow"], F.lit(True))
-    return joined.withColumn("can_fetch", verdict).drop("_host", "_rules")
 
 
 def robots_facts(robots: DataFrame, agent: str) -> DataFrame:

@@ -214,6 +214,65 @@ FROM (SELECT host, min(regexp_extract(path, '^(/[^/]*/)', 1)) AS folder, min(pat
             FROM pages) GROUP BY host)""",
 )
 
+# Rules with wildcards, made of aggregates of a host's page paths: key, then pieces.
+PATTERN_LINES = (
+    ("Disallow: ", "folder", "*", "first_end", "$"),
+    ("Allow: ", "folder", "*", "last_end"),
+    ("Disallow: /*?page=",),
+    ("Allow: ", "first_path"),
+    ("Disallow: ", "last_folder"),
+    ("Allow: ", "last_folder", "*", "first_end", "*"),
+    ("Disallow: /*/*", "last_end", "$"),
+    ("Allow: /*.html$",),
+    ("Disallow: ", "last_path", "*$"),
+)
+
+
+def pattern_robots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A robots text with wildcard rules for each host, of a fixed number of lines."""
+    pages = table(spark, sf_dir, "pages").select(
+        urls.host(F.col("url")).alias("host"), urls.path(F.col("url")).alias("path")
+    )
+    folder = F.regexp_extract("path", "^(/[^/]*/)", 1)
+    facts = pages.groupBy("host").agg(
+        F.min(folder).alias("folder"),
+        F.max(folder).alias("last_folder"),
+        F.min("path").alias("first_path"),
+        F.max("path").alias("last_path"),
+        F.min(F.right("path", F.lit(1))).alias("first_end"),
+        F.max(F.right("path", F.lit(1))).alias("last_end"),
+    )
+    columns = set(facts.columns)
+    text = [F.lit("User-agent: *")] + [
+        F.concat(*[F.col(p) if p in columns else F.lit(p) for p in line]) for line in PATTERN_LINES
+    ]
+    return facts.select("host", F.concat_ws("\n", *text).alias("robots_txt"))
+
+
+part(
+    "pattern_rules",
+    f"""
+SELECT DISTINCT host, rule.allow AS allow, rule.path AS path,
+  '^' || replace(regexp_replace(regexp_replace(rule.path, '\\$$', ''), '[.?+(){{}}\\[\\]^$|\\\\]', '\\\\\\0', 'g'), '*', '.*')
+    || CASE WHEN rule.path LIKE '%$' THEN '$' ELSE '' END AS pattern
+FROM (SELECT host, unnest([
+    {{'allow': false, 'path': folder || '*' || first_end || '$'}},
+    {{'allow': true, 'path': folder || '*' || last_end}},
+    {{'allow': false, 'path': '/*?page='}},
+    {{'allow': true, 'path': first_path}},
+    {{'allow': false, 'path': last_folder}},
+    {{'allow': true, 'path': last_folder || '*' || first_end || '*'}},
+    {{'allow': false, 'path': '/*/*' || last_end || '$'}},
+    {{'allow': true, 'path': '/*.html$'}},
+    {{'allow': false, 'path': last_path || '*$'}}]) AS rule
+  FROM (SELECT host, min(regexp_extract(path, '^(/[^/]*/)', 1)) AS folder,
+          max(regexp_extract(path, '^(/[^/]*/)', 1)) AS last_folder, min(path) AS first_path,
+          max(path) AS last_path, min(right(path, 1)) AS first_end, max(right(path, 1)) AS last_end
+        FROM (SELECT regexp_extract(url, '{HOST}', 1) AS host, regexp_extract(url, '{PATH}', 1) AS path
+              FROM pages) GROUP BY host))
+WHERE rule.path <> ''""",
+)
+
 part(
     "robots_lines",
     """

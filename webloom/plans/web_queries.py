@@ -257,6 +257,25 @@ def robots_can_fetch(spark, sf_dir):
     return checked.select("page_id", "url", "can_fetch")
 
 
+@query(
+    "robots_longest",
+    oracle(
+        f"""SELECT page_id, src_url, url, coalesce(best.allow, true) AS can_fetch, best.path AS rule FROM (
+  SELECT page_id, src_url, url, (SELECT arg_max({{'allow': r.allow, 'path': r.path}},
+      {{'bytes': strlen(r.path), 'allow': r.allow, 'path': r.path}}) FROM pattern_rules r
+    WHERE r.host = regexp_extract(links.url, '{HOST}', 1)
+      AND regexp_matches(CASE WHEN regexp_replace(links.url, '^[^/]*//[^/?#]*', '') = '' THEN '/'
+        ELSE regexp_replace(links.url, '^[^/]*//[^/?#]*', '') END, r.pattern)) AS best
+  FROM links)""",
+        "links",
+        "pattern_rules",
+    ),
+)
+def robots_longest(spark, sf_dir):
+    """Verdict of the longest rule with wildcards on every link."""
+    return rb.robots_longest(b.stored_links(spark, sf_dir), b.pattern_robots(spark, sf_dir), "IndexBot")
+
+
 @query(
     "robots_facts",
     oracle(
