@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from webloom.sources.gzip_members import RANGE_BYTES, read_gzip_lines
+
 DOCUMENT_SCHEMA = "url string, text string"
 ITEM_SCHEMA = "asin string, category array<string>, description array<string>, price string"
 REVIEW_SCHEMA = "reviewerID string, asin string, overall double"
@@ -118,6 +120,18 @@ def read_json_lines(
     return lines.repartition(partitions) if partitions else lines
 
 
+def read_json_members(
+    spark: SparkSession, path: str, schema: str, range_bytes: int = RANGE_BYTES
+) -> DataFrame:
+    """JSON lines of gzip files of many members, each file read by several tasks.
+
+    For folders that ``pyarrow.fs`` opens; ``read_json_lines`` reads whatever Spark reads. Empty
+    lines are passed over; a line that is no JSON gives nulls.
+    """
+    lines = read_gzip_lines(spark, path, range_bytes).where(F.trim("value") != "")
+    return lines.select(F.from_json("value", schema).alias("row")).select("row.*")
+
+
 def read_reviews(spark: SparkSession, path: str, rows: int | None = None, **options) -> DataFrame:
     return read_json_lines(spark, path, REVIEW_SCHEMA, rows=rows, **options)
 
