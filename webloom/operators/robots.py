@@ -92,9 +92,7 @@ def _rule_lists(rules: DataFrame, match: str, wildcards: bool) -> DataFrame:
         return indexed_rules(rules, pattern_head(path), pattern_tail(path))
     rooted = F.startswith(path, F.lit("/")) & ~F.startswith(path, F.lit("//"))
     start = urls.resolve(F.lit("http://h"), path).substr(F.lit(len("http://h") + 1), F.length(path))
-    listed = indexed_rules(rules.where(rooted), start, path)
-    odd = rules.where(~rooted).groupBy("host").agg(F.collect_set(path).alias("_odd"))
-    return listed.join(odd, "host", "full")
+    return indexed_rules(rules, F.when(rooted, start), path)
 
 
 def robots_allowed(

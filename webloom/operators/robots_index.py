@@ -17,19 +17,21 @@ from pyspark.sql import types as T
 
 
 def indexed_rules(rules: DataFrame, head: Column, entry: Column) -> DataFrame:
-    """``(host, _index, _chains)``, one row for each host, as large as its robots text.
+    """``(host, _index, _chains, _odd)``, one row for each host, as large as its robots text.
 
     ``_index`` holds ``(head, entries)`` in byte order of the heads; ``_chains`` holds for each of
-    them the places of all heads it starts with, itself last. Rows with a null head are left out.
+    them the places of all heads it starts with, itself last. ``_odd`` holds the entries of rules
+    whose head is null.
     """
     by_head = (
         rules.select("host", head.alias("head"), entry.alias("entry"))
-        .where(F.col("head").isNotNull())
         .groupBy("host", "head")
         .agg(F.collect_set("entry").alias("entries"))
     )
+    has_head = F.col("head").isNotNull()
     listed = by_head.groupBy("host").agg(
-        F.sort_array(F.collect_list(F.struct("head", "entries"))).alias("_index")
+        F.sort_array(F.collect_list(F.when(has_head, F.struct("head", "entries")))).alias("_index"),
+        F.flatten(F.collect_list(F.when(~has_head, F.col("entries")))).alias("_odd"),
     )
     return listed.withColumn("_chains", _chains(F.transform("_index", lambda e: e["head"])))
 
