@@ -5,10 +5,12 @@ Profiles are long tables ``(item, feature, weight)``; there is never one column
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from math import ceil
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -149,24 +151,42 @@ def user_profiles(
     Ratings of one item are averaged first. A user whose ratings sum to 0 has the zero vector,
     which in long form is no rows. An item with very many ratings is salted.
     """
-    mean = mean_rating(ratings)
+    # Written once: it is counted, split and joined.
+    mean = cut_lineage(mean_rating(ratings.where(F.col("user").isNotNull())))
     hot = hot_keys(mean, ["item"], min_rows)
-    known = profiles.select("item").distinct()
-    total = (
-        join_skewed(mean, known, ["item"], "left_semi", hot=hot)
-        .groupBy("user")
-        .agg(F.sum("rating").alias("total"))
-        .where(F.col("total") > 0)
+    # The features of an item come from one row, which bounds the lists.
+    vectors = (
+        profiles.groupBy("item")
+        .agg(F.collect_list(F.struct("feature", "weight")).alias("vector"))
+        .select("item", F.col("vector.feature").alias("features"), F.col("vector.weight").alias("weights"))
+    )
+    busy = F.broadcast(hot_keys(mean, ["user"], min_rows))
+    # An item's vector travels to the user as two lists in one row and is spread there. Of users with
+    # very many ratings the sums travel instead.
+    few = join_skewed(mean.join(busy, "user", "left_anti"), vectors, ["item"], hot=hot)
+    few = few.select("user", "rating", "features", "weights").repartition("user")
+    many = join_skewed(mean.join(busy, "user", "left_semi"), vectors, ["item"], hot=hot)
+    return _weighted_means(few).unionByName(_weighted_means(many))
+
+
+def _weighted_means(rated: DataFrame) -> DataFrame:
+    """``(user, feature, weight)`` from ``(user, rating, features, weights)``, a row for each rated item."""
+    # Place 0 of the lists stands for the item itself and sums up to the total of the ratings.
+    lists = F.arrays_zip(
+        F.concat(F.array(F.lit(None).cast("string")), "features").alias("feature"),
+        F.concat(F.array(F.lit(1.0)), "weights").alias("weight"),
     )
-    vectors = profiles.select("item", "feature", "weight")
     summed = (
-        join_skewed(mean, vectors, ["item"], hot=hot)
-        .groupBy("user", "feature")
-        .agg(F.sum(F.col("weight") * F.col("rating")).alias("weighted"))
+        rated.select("user", "rating", F.posexplode_outer(lists).alias("place", "entry"))
+        .groupBy("user", (F.col("place") == 0).alias("whole"), F.col("entry.feature").alias("feature"))
+        .agg(F.sum(F.col("entry.weight") * F.col("rating")).alias("weighted"))
     )
     # One row for each user and feature by now: no user has more rows than there are features.
-    return summed.join(total, "user").select(
-        "user", "feature", (F.col("weighted") / F.col("total")).alias("weight")
+    total = F.max(F.when(F.col("whole"), F.col("weighted"))).over(Window.partitionBy("user"))
+    return (
+        summed.withColumn("total", total)
+        .where((F.col("total") > 0) & ~F.col("whole"))
+        .select("user", "feature", (F.col("weighted") / F.col("total")).alias("weight"))
     )
 
 
@@ -174,13 +194,13 @@ def top_items(
     users: DataFrame,
     profiles: DataFrame,
     k: int = 2,
-    user_block: int = 2048,
+    user_block: int = 16384,
     item_block: int = 65536,
 ) -> DataFrame:
     """The ``k`` items nearest to each user profile by cosine: ``(user, rank, item, score)``.
 
-    Exact, without scoring all pairs. Users and items fall into blocks of bounded size, which meet in
-    one task each. There, items of the same heaviest features form groups and those of the same
+    Exact, without scoring all pairs. Users and items fall into blocks of bounded size, each written
+    once as one row; every two meet in one task, which reads them where they are. There, items of the same heaviest features form groups and those of the same
     features in all form subgroups; the greatest weight of each feature bounds the scores of a
     group. A user's ``k``-th best among one item of each group is a threshold; groups, then
     subgroups, whose bound lies below it are left out, and the items of the rest are scored. The best
@@ -192,27 +212,20 @@ def top_items(
     users, profiles = cut_lineage(users), cut_lineage(profiles)
     user_blocks = _blocks_for(users, "user", user_block)
     item_blocks = _blocks_for(profiles, "item", item_block)
-    # Fresh column names: both sides may come from the same tables.
-    u = _unit_vectors(users.select("user", "feature", "weight").toDF("id", "label", "value"))
-    i = _unit_vectors(profiles.select("item", "feature", "weight").toDF("id", "label", "value"))
-    block_of = lambda blocks: F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    left = u.withColumn("ub", block_of(user_blocks)).withColumn(
-        "ib", F.explode(F.sequence(F.lit(0), F.lit(item_blocks - 1)))
-    )
-    right = i.withColumn("ib", block_of(item_blocks)).withColumn(
-        "ub", F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1)))
-    )
+    left = _packed(users.select("user", "feature", "weight"), user_blocks).toDF("users")
+    right = _packed(profiles.select("item", "feature", "weight"), item_blocks).toDF("items")
     user_type = users.schema["user"].dataType.simpleString()
     item_type = profiles.schema["item"].dataType.simpleString()
 
-    def score(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        return best_in_block(a, b, k)[0]
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in zip(batch.column("users"), batch.column("items")):
+                found = best_in_block(_unpacked(a), _unpacked(b), k)[0]
+                yield pa.RecordBatch.from_pandas(found, preserve_index=False)
 
-    partial = (
-        left.groupBy("ub", "ib")
-        .cogroup(right.groupBy("ub", "ib"))
-        .applyInPandas(score, f"user {user_type}, item {item_type}, score double")
-    )
+    # A block is a partition of one row, so nothing is shuffled and a task gets two blocks.
+    met = left.crossJoin(right.hint("shuffle_replicate_nl"))
+    partial = met.mapInArrow(score, f"user {user_type}, item {item_type}, score double")
     best = Window.partitionBy("user").orderBy(F.desc("score"), "item")
     return (
         partial.withColumn("rank", F.row_number().over(best))
@@ -227,6 +240,31 @@ def _blocks_for(vectors: DataFrame, key: str, keys_in_block: int) -> int:
     return max(1, ceil(keys / keys_in_block), ceil(rows / BLOCK_ROWS))
 
 
+def _packed(vectors: DataFrame, blocks: int) -> DataFrame:
+    """Unit vectors of rows ``(id, feature, weight)`` in ``blocks`` partitions, each a single row: an
+    Arrow stream of its ``(id, label, value)``. Written once."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [batch for batch in batches if batch.num_rows]
+        if held:
+            sink = pa.BufferOutputStream()
+            options = pa.ipc.IpcWriteOptions(compression="lz4")
+            rows = pa.Table.from_batches(held).combine_chunks()
+            label = rows.schema.get_field_index("label")
+            rows = rows.set_column(label, "label", rows["label"].dictionary_encode())
+            with pa.ipc.new_stream(sink, rows.schema, options=options) as stream:
+                stream.write_table(rows)
+            yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["body"])
+
+    dealt = vectors.toDF("id", "label", "value").repartition(blocks, "id")
+    return cut_lineage(_unit_vectors(dealt).mapInArrow(pack, "body binary"))
+
+
+def _unpacked(body: pa.BinaryScalar) -> pd.DataFrame:
+    with pa.ipc.open_stream(body.as_buffer()) as stream:
+        return stream.read_pandas()
+
+
 def _unit_vectors(vectors: DataFrame) -> DataFrame:
     """Rows ``(id, feature, weight)`` scaled to unit length; zero vectors keep weight 0."""
     length = F.sqrt(F.sum(F.col("value") * F.col("value")).over(Window.partitionBy("id")))
@@ -235,8 +273,9 @@ def _unit_vectors(vectors: DataFrame) -> DataFrame:
 
 # Features whose set makes a group of items, the heaviest ones.
 GROUP_FEATURES = 3
-# Numbers of a dense matrix in a task.
+# Numbers of a dense matrix in a task, and users that are compared at a time.
 DENSE = 1 << 23
+USERS_AT_ONCE = 1024
 # More than rounding can move a score.
 ROUNDING = 1e-9
 
@@ -369,17 +408,17 @@ def best_in_block(a: pd.DataFrame, b: pd.DataFrame, k: int) -> tuple[pd.DataFram
     and an item were scored for it. Both frames hold unit vectors ``(id, label, value)``."""
     users, row = np.unique(a["id"].to_numpy(), return_inverse=True)
     items, col = np.unique(b["id"].to_numpy(), return_inverse=True)
-    labels, known = np.unique(b["label"].to_numpy(), return_inverse=True)
+    known, labels = pd.factorize(b["label"].astype(object), sort=True)
     width, scored = len(labels), 0
     if not len(users) or not len(items):
         return pd.DataFrame({"user": users[:0], "item": items[:0], "score": np.zeros(0)}), 0
     grouped = GroupedItems(col, known, b["value"].to_numpy(), len(items), width)
     # Features that no item has do not count for a product.
-    feature = np.searchsorted(labels, a["label"].to_numpy())
-    shared = (feature < width) & (labels[np.minimum(feature, width - 1)] == a["label"].to_numpy())
+    feature = pd.Index(labels).get_indexer(a["label"].astype(object))
+    shared = feature >= 0
     vectors = Rows(row[shared], feature[shared], a["value"].to_numpy()[shared], len(users))
     samples, groups = grouped.items.picked(grouped.samples), len(grouped.group_starts) - 1
-    step = max(1, min(DENSE // width, DENSE // groups))
+    step = max(1, min(USERS_AT_ONCE, DENSE // width, DENSE // groups))
     found = []
     for first in range(0, len(users), step):
         n = min(step, len(users) - first)
