@@ -42,6 +42,25 @@ def stem_vocabulary(terms: DataFrame, term: str = "term") -> DataFrame:
     return terms.select(F.col(term).alias("term")).distinct().withColumn("stem", stem("term"))
 
 
+# Bytes of a list of terms that goes to every task instead of moving the postings it is joined with.
+LISTED_BYTES = 64 << 20
+
+
+def join_terms(
+    postings_table: DataFrame, listed: DataFrame, hot: DataFrame, most: int | None = None
+) -> DataFrame:
+    """Join postings with a table that has each term once. It is written and measured; up to ``most``
+    bytes are broadcast, so the postings stay where they are; a longer one is joined with salting."""
+    listed = cut_lineage(listed)
+    # Sixty-four bytes for the row beside its text.
+    texts = [f.name for f in listed.schema.fields if f.dataType.simpleString() == "string"]
+    row = sum((F.octet_length(c) for c in texts), F.lit(64))
+    size = listed.agg(F.sum(row.cast("bigint"))).first()[0] or 0
+    if size <= (LISTED_BYTES if most is None else most):
+        return postings_table.join(F.broadcast(listed), "term")
+    return join_skewed(postings_table, listed, ["term"], hot=hot)
+
+
 def with_stems(tokens: DataFrame) -> DataFrame:
     """Replace ``term`` by its stem. A frequent term may fill a third of the stream, which is written
     once and then counted and joined. For an index take ``term_postings``, which stems less."""
@@ -62,11 +81,12 @@ def normalize(docs: DataFrame, stem: bool = False, **options) -> DataFrame:
 
 def stem_postings(plain: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
     """Postings of stems from postings of plain terms, which are written once: their frequencies give
-    both the vocabulary to stem and the frequent terms to split."""
+    both the vocabulary to stem and the frequent terms to split. The stems come to the postings while
+    they are few."""
     plain = cut_lineage(plain)
     dictionary = doc_frequency(plain)
     frequent = hot_keys(dictionary, ["term"], min_rows, weight="df")
-    stemmed = join_skewed(plain, stem_vocabulary(dictionary), ["term"], hot=frequent)
+    stemmed = join_terms(plain, stem_vocabulary(dictionary), frequent)
     return stemmed.select(F.col("stem").alias("term"), "doc_id").distinct()
 
 
