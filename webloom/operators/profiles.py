@@ -5,12 +5,15 @@ Profiles are long tables ``(item, feature, weight)``; there is never one column
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from math import ceil
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -199,32 +202,49 @@ def top_items(
 ) -> DataFrame:
     """The ``k`` items nearest to each user profile by cosine: ``(user, rank, item, score)``.
 
-    Exact, without scoring all pairs. Users and items fall into blocks of bounded size, each written
-    once as one row; every two meet in one task, which reads them where they are. There, items of the same heaviest features form groups and those of the same
-    features in all form subgroups; the greatest weight of each feature bounds the scores of a
-    group. A user's ``k``-th best among one item of each group is a threshold; groups, then
-    subgroups, whose bound lies below it are left out, and the items of the rest are scored. The best
-    of all blocks are merged by a window with a group limit. Rated items stay in, ties go to the
-    smaller item.
+    Exact, without scoring all pairs. Every user meets a bounded number of items first; the ``k``-th
+    best of them is a threshold that holds for all others. Users and items fall into blocks of bounded
+    size, items of the same heaviest features next to each other, each block written once as one row;
+    every two meet in one task, which reads them where they are. There, items of the same heaviest
+    features form groups, those of the same features in all form subgroups, and these are halved into
+    leaves of few items; the greatest weight of each feature bounds the scores of all items below.
+    Groups, subgroups and leaves whose bound lies below the threshold are left out, and the items of
+    the rest are scored. The best of all blocks are merged by a window with a group limit. Rated items
+    stay in, ties go to the smaller item.
     """
     if k <= 0:
         raise ValueError("k must be greater than 0")
-    users, profiles = cut_lineage(users), cut_lineage(profiles)
-    user_blocks = _blocks_for(users, "user", user_block)
-    item_blocks = _blocks_for(profiles, "item", item_block)
-    left = _packed(users.select("user", "feature", "weight"), user_blocks).toDF("users")
-    right = _packed(profiles.select("item", "feature", "weight"), item_blocks).toDF("items")
+    users = cut_lineage(users.select("user", "feature", "weight"))
+    items = cut_lineage(_item_rows(profiles))
+    user_keys, user_rows = users.agg(F.count_distinct("user"), F.count(F.lit(1))).first()
+    item_keys, item_rows = items.agg(F.count(F.lit(1)), F.sum(F.size("features"))).first()
+    user_blocks = _blocks_for(user_keys, user_rows, user_block)
+    item_blocks = _blocks_for(item_keys, item_rows or 0, item_block)
+    # Few long vectors or many short ones: a bounded number of rows either way.
+    first = max(k, min(SEEDS, SEED_ROWS * item_keys // max(item_rows or 0, 1)))
+    seeds = items.orderBy(F.xxhash64("item"), "item").limit(first).select("item", "features", "weights").toArrow()
+    left = _packed_users(users, user_blocks, _block_of_lists(seeds), k)
+    right = _packed_items(items, item_blocks, k)
     user_type = users.schema["user"].dataType.simpleString()
     item_type = profiles.schema["item"].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in zip(batch.column("users"), batch.column("items")):
-                found = best_in_block(_unpacked(a), _unpacked(b), k)[0]
-                yield pa.RecordBatch.from_pandas(found, preserve_index=False)
-
-    # A block is a partition of one row, so nothing is shuffled and a task gets two blocks.
-    met = left.crossJoin(right.hint("shuffle_replicate_nl"))
+                *mine, least = _unpacked(a)
+                mine, grouped = Block(*mine), GroupedItems(*_unpacked(b))
+                user, item, found, _ = _best_of(mine, least, grouped, k)
+                columns = [mine.ids.take(pa.array(user)), grouped.ids.take(pa.array(item)), pa.array(found)]
+                yield pa.RecordBatch.from_arrays(columns, ["user", "item", "score"])
+
+    # A block is a partition of one row, so nothing is shuffled and a task gets two blocks. A single
+    # block, which is bounded, goes to the others.
+    if user_blocks > 1 and item_blocks > 1:
+        met = left.select("users").crossJoin(right.select("items").hint("shuffle_replicate_nl"))
+    elif item_blocks == 1:
+        met = left.join(F.broadcast(right), "side").select("users", "items")
+    else:
+        met = right.join(F.broadcast(left), "side").select("users", "items")
     partial = met.mapInArrow(score, f"user {user_type}, item {item_type}, score double")
     best = Window.partitionBy("user").orderBy(F.desc("score"), "item")
     return (
@@ -234,35 +254,67 @@ def top_items(
     )
 
 
-def _blocks_for(vectors: DataFrame, key: str, keys_in_block: int) -> int:
+def _blocks_for(keys: int, rows: int, keys_in_block: int) -> int:
     """Number of blocks that keeps both the keys and the rows of a block near a fixed size."""
-    keys, rows = vectors.agg(F.count_distinct(key), F.count(F.lit(1))).first()
     return max(1, ceil(keys / keys_in_block), ceil(rows / BLOCK_ROWS))
 
 
-def _packed(vectors: DataFrame, blocks: int) -> DataFrame:
-    """Unit vectors of rows ``(id, feature, weight)`` in ``blocks`` partitions, each a single row: an
-    Arrow stream of its ``(id, label, value)``. Written once."""
+def _item_rows(profiles: DataFrame) -> DataFrame:
+    """``(item, leading, features, weights)``, a row for each item; ``leading`` are its heaviest features.
+    The features of an item come from one row, which bounds the lists."""
+    vectors = profiles.groupBy("item").agg(
+        F.sort_array(F.collect_list(F.struct("feature", "weight"))).alias("vector")
+    )
+    heavy = F.sort_array(F.transform("vector", lambda x: F.struct((-x["weight"]).alias("w"), x["feature"].alias("f"))))
+    return vectors.select(
+        "item",
+        F.sort_array(F.slice(heavy, 1, GROUP_FEATURES)["f"]).alias("leading"),
+        F.col("vector.feature").alias("features"),
+        F.col("vector.weight").alias("weights"),
+    )
+
+
+def _packed_users(users: DataFrame, blocks: int, seeds: Block, k: int) -> DataFrame:
+    """``(side, users)``: the unit vectors of all users in ``blocks`` partitions of one row, with the
+    least score that an item has to reach to be of a user's ``k`` best. Written once."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [batch for batch in batches if batch.num_rows]
         if held:
-            sink = pa.BufferOutputStream()
-            options = pa.ipc.IpcWriteOptions(compression="lz4")
-            rows = pa.Table.from_batches(held).combine_chunks()
-            label = rows.schema.get_field_index("label")
-            rows = rows.set_column(label, "label", rows["label"].dictionary_encode())
-            with pa.ipc.new_stream(sink, rows.schema, options=options) as stream:
-                stream.write_table(rows)
-            yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["body"])
+            rows = pa.Table.from_batches(held)
+            mine = _block(rows["user"], rows["feature"], rows["weight"].to_numpy())
+            yield _packed((*mine, _thresholds(mine, seeds, k)), "users")
 
-    dealt = vectors.toDF("id", "label", "value").repartition(blocks, "id")
-    return cut_lineage(_unit_vectors(dealt).mapInArrow(pack, "body binary"))
+    dealt = users.repartition(blocks, "user")
+    return cut_lineage(dealt.mapInArrow(pack, "side int, users binary"))
 
 
-def _unpacked(body: pa.BinaryScalar) -> pd.DataFrame:
-    with pa.ipc.open_stream(body.as_buffer()) as stream:
-        return stream.read_pandas()
+def _packed_items(items: DataFrame, blocks: int, k: int) -> DataFrame:
+    """``(side, items)``: all items in ``blocks`` partitions of one row, in which those of the same
+    heaviest features lie together, grouped. Written once."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [batch for batch in batches if batch.num_rows]
+        if held:
+            yield _packed(GroupedItems.of(_block_of_lists(pa.Table.from_batches(held)), k), "items")
+
+    dealt = items.repartitionByRange(blocks, "leading", "item").select("item", "features", "weights")
+    return cut_lineage(dealt.mapInArrow(pack, "side int, items binary"))
+
+
+def _packed(parts: tuple, name: str) -> pa.RecordBatch:
+    """One row of plain arrays; sparse rows go as their columns, since a worker may lack this package."""
+    raw = pickle.dumps([x.plain() if isinstance(x, Rows) else x for x in parts], protocol=5)
+    body = len(raw).to_bytes(8, "big") + pa.compress(raw, codec="lz4", asbytes=True)
+    columns = [pa.array([0], pa.int32()), pa.array([body], pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["side", name])
+
+
+def _unpacked(body: pa.BinaryScalar) -> list:
+    held = body.as_buffer()
+    size = int.from_bytes(held[:8].to_pybytes(), "big")
+    parts = pickle.loads(pa.decompress(held[8:], decompressed_size=size, codec="lz4"))
+    return [Rows(*x, ordered=True) if isinstance(x, tuple) else x for x in parts]
 
 
 def _unit_vectors(vectors: DataFrame) -> DataFrame:
@@ -273,9 +325,14 @@ def _unit_vectors(vectors: DataFrame) -> DataFrame:
 
 # Features whose set makes a group of items, the heaviest ones.
 GROUP_FEATURES = 3
+# Items that share a bound at last.
+LEAF_ITEMS = 16
+# Items that every user meets for a threshold, and their feature rows. Not a cut: no result depends on them.
+SEEDS = 8192
+SEED_ROWS = 500_000
 # Numbers of a dense matrix in a task, and users that are compared at a time.
 DENSE = 1 << 23
-USERS_AT_ONCE = 1024
+USERS_AT_ONCE = 4096
 # More than rounding can move a score.
 ROUNDING = 1e-9
 
@@ -283,17 +340,21 @@ ROUNDING = 1e-9
 class Rows:
     """Sparse rows ``row, column, value`` in row order; ``starts`` has one entry more than there are rows."""
 
-    def __init__(self, row: np.ndarray, column: np.ndarray, value: np.ndarray, rows: int):
-        order = np.lexsort((column, row))
-        self.row, self.column, self.value = row[order], column[order], value[order]
+    def __init__(self, row: np.ndarray, column: np.ndarray, value: np.ndarray, rows: int, ordered: bool = False):
+        order = slice(None) if ordered else np.lexsort((column, row))
+        self.row, self.column = row[order].astype(np.int32), column[order].astype(np.int32)
+        self.value = value[order]
         self.starts = np.searchsorted(self.row, np.arange(rows + 1))
 
     def __len__(self) -> int:
         return len(self.starts) - 1
 
+    def plain(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        return self.row, self.column, self.value, len(self)
+
     def picked(self, which: np.ndarray) -> Rows:
         at, owner = _expanded(self.starts, which)
-        return Rows(owner, self.column[at], self.value[at], len(which))
+        return Rows(owner, self.column[at], self.value[at], len(which), ordered=True)
 
     def dense(self, first: int, last: int, width: int) -> np.ndarray:
         made = np.zeros((last - first, width))
@@ -302,48 +363,163 @@ class Rows:
         return made
 
 
-class GroupedItems:
-    """The items of a block in groups and subgroups, with bounds of their weights."""
-
-    def __init__(self, item: np.ndarray, feature: np.ndarray, value: np.ndarray, n: int, width: int):
-        self.items, self.width = Rows(item, feature, value, n), width
-        heavy = np.lexsort((feature, -value, item))
-        place = np.arange(len(item)) - self.items.starts[item[heavy]]
+class Block(NamedTuple):
+    """Sparse vectors: their ids and the labels of their columns, both ascending."""
+
+    ids: pa.Array
+    labels: pa.Array
+    rows: Rows
+
+
+def _block(ids: pa.ChunkedArray, label: pa.ChunkedArray, value: np.ndarray, scaled: bool = True) -> Block:
+    """A block of rows ``(id, label, value)``, each vector scaled to unit length; zero vectors keep weight 0."""
+    (ids, row), (labels, column) = _coded(ids), _coded(label)
+    if scaled:
+        length = np.sqrt(np.bincount(row, weights=value * value, minlength=len(ids)))[row]
+        value = np.divide(value, length, out=np.zeros(len(value)), where=length > 0)
+    # A label that a vector has twice counts twice.
+    cell, at = np.unique(row * max(len(labels), 1) + column, return_inverse=True)
+    value = np.bincount(at.ravel(), weights=value, minlength=len(cell))
+    return Block(ids, labels, Rows(*np.divmod(cell, max(len(labels), 1)), value, len(ids), ordered=True))
+
+
+def _block_of_lists(items: pa.Table) -> Block:
+    """A block of rows ``(item, features, weights)``."""
+    items = items.combine_chunks()
+    owner = pc.list_parent_indices(items["features"])
+    weights = pc.list_flatten(items["weights"]).to_numpy()
+    return _block(items["item"].take(owner), pc.list_flatten(items["features"]), weights)
+
+
+def _coded(values: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
+    """The distinct values in ascending order, null before all, and the place of each value there."""
+    whole = values.combine_chunks() if isinstance(values, pa.ChunkedArray) else values
+    if isinstance(whole, pa.ChunkedArray):
+        whole = pa.concat_arrays(whole.chunks) if whole.num_chunks else pa.array([], whole.type)
+    coded = whole.dictionary_encode(null_encoding="encode")
+    order = pc.array_sort_indices(coded.dictionary, null_placement="at_start").to_numpy()
+    place = np.empty(len(order), dtype=np.int64)
+    place[order] = np.arange(len(order))
+    return coded.dictionary.take(pa.array(order)), place[coded.indices.to_numpy()]
+
+
+class GroupedItems(NamedTuple):
+    """The items of a block in groups, subgroups (parts) and leaves, with bounds of their weights (the
+    greatest, the least); items are numbered in that order, and ``item`` has the place of each in ``ids``."""
+
+    ids: pa.Array
+    labels: pa.Array
+    item: np.ndarray
+    rows: Rows
+    group_starts: np.ndarray
+    part_starts: np.ndarray
+    leaf_starts: np.ndarray
+    most_of_groups: Rows
+    least_of_groups: Rows
+    most_of_parts: Rows
+    least_of_parts: Rows
+    most_of_leaves: Rows
+    least_of_leaves: Rows
+
+    @classmethod
+    def of(cls, block: Block, k: int) -> GroupedItems:
+        """Of equal vectors only the first ``k`` stay: they come before the others in every ranking."""
+        width = len(block.labels)
+        kept = _first_of_equal(block.rows, k)
+        rows, n = block.rows.picked(kept), len(kept)
+        heavy = np.lexsort((rows.column, -rows.value, rows.row))
+        place = np.arange(len(heavy)) - rows.starts[rows.row[heavy]]
         top = place < GROUP_FEATURES
         leading = np.full((n, GROUP_FEATURES), -1)
-        leading[item[heavy][top], place[top]] = feature[heavy][top]
+        leading[rows.row[heavy][top], place[top]] = rows.column[heavy][top]
         group = np.unique(np.sort(leading, axis=1), axis=0, return_inverse=True)[1].ravel()
-        # A sum of scrambled features; two sets with one sum would only share a bound.
-        mark = (feature.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-        mark ^= mark >> np.uint64(29)
-        whole = np.zeros(n, dtype=np.uint64)
-        np.add.at(whole, item, mark * mark)
-        _, first, self.part = np.unique(
-            np.stack([group.astype(np.uint64), whole], axis=1), axis=0, return_index=True, return_inverse=True
-        )
-        self.part = self.part.ravel()
-        self.by_part = np.argsort(self.part, kind="stable")
-        self.part_starts = np.searchsorted(self.part[self.by_part], np.arange(len(first) + 1))
-        # Subgroups are numbered in the order of their groups.
-        groups = int(group.max()) + 1 if n else 0
-        self.group_starts = np.searchsorted(group[first], np.arange(groups + 1))
-        self.samples = np.unique(group, return_index=True)[1]
-        self.of_groups = [self._extreme(group, groups, most) for most in (True, False)]
-        self.of_parts = [self._extreme(self.part, len(first), most) for most in (True, False)]
-
-    def _extreme(self, group: np.ndarray, groups: int, most: bool) -> Rows:
-        """The greatest or least weight of each feature in a group; an item without it has 0."""
-        rows, sizes = self.items, np.bincount(group, minlength=groups)
-        cell = group[rows.row] * self.width + rows.column
-        order = np.argsort(cell, kind="stable")
-        new = np.flatnonzero(np.diff(cell[order], prepend=-1))
-        if not len(new):
-            return Rows(cell, cell, rows.value, groups)
-        value = (np.maximum if most else np.minimum).reduceat(rows.value[order], new)
-        cell, held = cell[order][new], np.diff(new, append=len(order))
-        missing = held < sizes[cell // self.width]
-        value = np.where(missing, np.maximum(value, 0) if most else np.minimum(value, 0), value)
-        return Rows(cell // self.width, cell % self.width, value, groups)
+        # Two sets of features with one mark would only share a bound.
+        whole = _marks(rows, rows.column.astype(np.uint64))
+        part = np.unique(
+            np.stack([group.astype(np.uint64), whole], axis=1), axis=0, return_inverse=True
+        )[1].ravel()
+        order, leaf = _leaves(rows, part, width)
+        rows = rows.picked(order)
+        group, part, leaf = group[order], part[order], leaf[order]
+        # Leaves are numbered in the order of their parts, parts in the order of their groups.
+        leaf_starts = _starts(leaf)
+        part_starts = _starts(part[leaf_starts[:-1]])
+        group_starts = _starts(group[leaf_starts[part_starts[:-1]]])
+        bounds = [_extreme(rows, x, width, most) for x in (group, part, leaf) for most in (True, False)]
+        return cls(block.ids, block.labels, kept[order], rows, group_starts, part_starts, leaf_starts, *bounds)
+
+    @property
+    def samples(self) -> np.ndarray:
+        """The first item of each group, and one of about every leaf."""
+        firsts = self.leaf_starts[self.part_starts[self.group_starts[:-1]]]
+        return np.union1d(firsts, np.arange(0, len(self.item), LEAF_ITEMS))
+
+
+def _starts(numbers: np.ndarray) -> np.ndarray:
+    """Where each of the ascending ``numbers`` 0, 1, 2, ... starts, and the end."""
+    return np.searchsorted(numbers, np.arange((int(numbers[-1]) + 1 if len(numbers) else 0) + 1))
+
+
+def _marks(rows: Rows, cells: np.ndarray) -> np.ndarray:
+    """A number for each row, the sum of its scrambled cells."""
+    mark = (cells + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    mark ^= mark >> np.uint64(29)
+    total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(mark * mark, dtype=np.uint64)])
+    return total[rows.starts[1:]] - total[rows.starts[:-1]]
+
+
+def _first_of_equal(rows: Rows, k: int) -> np.ndarray:
+    """The rows without those that have ``k`` equal ones before them."""
+    bits = (rows.value + 0.0).view(np.uint64)
+    mark = _marks(rows, (rows.column.astype(np.uint64) << np.uint64(32)) ^ (bits * np.uint64(0xC2B2AE3D27D4EB4F)))
+    order, sizes = np.argsort(mark, kind="stable"), np.diff(rows.starts)
+    one, other = order[:-1], order[1:]
+    same = (mark[one] == mark[other]) & (sizes[one] == sizes[other])
+    # What the marks suggest is looked at number by number.
+    (x, owner), (y, _) = _expanded(rows.starts, one[same]), _expanded(rows.starts, other[same])
+    differ = (rows.column[x] != rows.column[y]) | (rows.value[x] != rows.value[y])
+    same[same] = np.bincount(owner, weights=differ, minlength=int(same.sum())) == 0
+    new = np.concatenate([np.ones(min(len(order), 1), dtype=bool), ~same])
+    place = np.arange(len(order)) - np.flatnonzero(new)[np.cumsum(new) - 1]
+    return np.sort(order[place < k])
+
+
+def _leaves(rows: Rows, part: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The rows in the order of their leaves, and the leaf of each row: parts halved along the widest
+    feature until none has more than ``LEAF_ITEMS`` rows."""
+    leaf = part
+    while True:
+        order = np.argsort(leaf, kind="stable")
+        sizes = np.bincount(leaf) if len(leaf) else np.zeros(0, dtype=int)
+        if not len(sizes) or sizes.max() <= LEAF_ITEMS:
+            return order, leaf
+        most, least = (_extreme(rows, leaf, width, x) for x in (True, False))
+        widest = np.lexsort((most.value - least.value, most.row))[most.starts[1:] - 1]
+        axis = most.column[widest]
+        at = np.zeros(len(leaf))
+        mine = rows.column == axis[leaf[rows.row]]
+        at[rows.row[mine]] = rows.value[mine]
+        order = np.lexsort((at, leaf))
+        place = np.arange(len(order)) - (np.cumsum(sizes) - sizes)[leaf[order]]
+        upper = np.empty(len(leaf), dtype=np.int64)
+        size = sizes[leaf[order]]
+        upper[order] = (size > LEAF_ITEMS) & (place >= size // 2)
+        leaf = np.unique(leaf * 2 + upper, return_inverse=True)[1].ravel()
+
+
+def _extreme(rows: Rows, group: np.ndarray, width: int, most: bool) -> Rows:
+    """The greatest or least weight of each feature in a group; an item without it has 0."""
+    sizes = np.bincount(group) if len(group) else np.zeros(0, dtype=int)
+    cell = group[rows.row].astype(np.int64) * width + rows.column
+    order = np.argsort(cell, kind="stable")
+    new = np.flatnonzero(np.diff(cell[order], prepend=-1))
+    if not len(new):
+        return Rows(cell, cell, rows.value, len(sizes))
+    value = (np.maximum if most else np.minimum).reduceat(rows.value[order], new)
+    cell, held = cell[order][new], np.diff(new, append=len(order))
+    missing = held < sizes[cell // width]
+    value = np.where(missing, np.maximum(value, 0) if most else np.minimum(value, 0), value)
+    return Rows(cell // width, cell % width, value, len(sizes), ordered=True)
 
 
 def _expanded(starts: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -388,56 +564,109 @@ def _all_bounds(dense: np.ndarray, extremes: list[Rows]) -> np.ndarray:
 def _open_parts(dense: np.ndarray, stay: np.ndarray, least: np.ndarray, grouped: GroupedItems):
     """Pairs of a user and a subgroup whose bound reaches the user's threshold, among the groups
     ``(users, groups)`` that do; a group has few features, so a small product each."""
-    users, parts = [], []
+    users, parts = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+    most = grouped.most_of_groups
     for group in np.flatnonzero(stay.any(axis=0)).tolist():
         user = np.flatnonzero(stay[:, group])
         first, last = grouped.group_starts[group : group + 2].tolist()
-        most = grouped.of_groups[0]
         columns = most.column[most.starts[group] : most.starts[group + 1]]
         mine = dense[np.ix_(user, columns)]
-        high, low = (x.dense(first, last, grouped.width)[:, columns] for x in grouped.of_parts)
-        bound = np.maximum(mine, 0) @ high.T + np.minimum(mine, 0) @ low.T
+        high, low = (_narrow(x, first, last, columns) for x in (grouped.most_of_parts, grouped.least_of_parts))
+        bound = np.maximum(mine, 0) @ high.T
+        if (mine < 0).any():
+            bound += np.minimum(mine, 0) @ low.T
         row, part = np.nonzero(bound >= least[user, None])
         users.append(user[row])
         parts.append(part + first)
     return np.concatenate(users), np.concatenate(parts)
 
 
-def best_in_block(a: pd.DataFrame, b: pd.DataFrame, k: int) -> tuple[pd.DataFrame, int]:
-    """Top ``k`` items of one item block for each user of one user block, and how many pairs of a user
-    and an item were scored for it. Both frames hold unit vectors ``(id, label, value)``."""
-    users, row = np.unique(a["id"].to_numpy(), return_inverse=True)
-    items, col = np.unique(b["id"].to_numpy(), return_inverse=True)
-    known, labels = pd.factorize(b["label"].astype(object), sort=True)
-    width, scored = len(labels), 0
-    if not len(users) or not len(items):
-        return pd.DataFrame({"user": users[:0], "item": items[:0], "score": np.zeros(0)}), 0
-    grouped = GroupedItems(col, known, b["value"].to_numpy(), len(items), width)
-    # Features that no item has do not count for a product.
-    feature = pd.Index(labels).get_indexer(a["label"].astype(object))
+def _narrow(rows: Rows, first: int, last: int, columns: np.ndarray) -> np.ndarray:
+    """Some sparse rows as a dense matrix of those columns that they have."""
+    made = np.zeros((last - first, len(columns)))
+    part = slice(rows.starts[first], rows.starts[last])
+    made[rows.row[part] - first, np.searchsorted(columns, rows.column[part])] = rows.value[part]
+    return made
+
+
+def _open_leaves(dense: np.ndarray, user: np.ndarray, part: np.ndarray, least: np.ndarray, grouped: GroupedItems):
+    """Pairs of a user and a leaf whose bound reaches the user's threshold, among open subgroups."""
+    leaf, owner = _expanded(grouped.part_starts, part)
+    user = user[owner]
+    bound = _dots(np.maximum(dense, 0), user, grouped.most_of_leaves, leaf)
+    if (dense < 0).any():
+        bound += _dots(np.minimum(dense, 0), user, grouped.least_of_leaves, leaf)
+    near = bound >= least[user]
+    return user[near], leaf[near]
+
+
+def _known(users: Block, labels: pa.Array) -> Rows:
+    """The vectors of users in columns ``labels``. Features that no item has do not count for a product."""
+    feature = pc.index_in(users.labels, value_set=labels).fill_null(-1).to_numpy(zero_copy_only=False)
+    feature = feature[users.rows.column]
     shared = feature >= 0
-    vectors = Rows(row[shared], feature[shared], a["value"].to_numpy()[shared], len(users))
-    samples, groups = grouped.items.picked(grouped.samples), len(grouped.group_starts) - 1
-    step = max(1, min(USERS_AT_ONCE, DENSE // width, DENSE // groups))
-    found = []
-    for first in range(0, len(users), step):
-        n = min(step, len(users) - first)
-        dense = vectors.dense(first, first + n, width)
-        seeds = _all_dots(dense, samples)
-        least = np.full(n, -np.inf)
-        if k <= groups:
-            least = np.partition(seeds, groups - k, axis=1)[:, groups - k] - ROUNDING
-        stay = _all_bounds(dense, grouped.of_groups) >= least[:, None]
-        user, part = _open_parts(dense, stay, least, grouped)
-        at, owner = _expanded(grouped.part_starts, part)
-        user, item = user[owner], grouped.by_part[at]
+    # Both lists of labels are ascending, so the order stays.
+    return Rows(users.rows.row[shared], feature[shared], users.rows.value[shared], len(users.rows), ordered=True)
+
+
+def _thresholds(users: Block, seeds: Block, k: int) -> np.ndarray:
+    """The ``k``-th best score of each user among ``seeds``: no less is of the ``k`` best of all items."""
+    vectors, width, n = _known(users, seeds.labels), len(seeds.labels), len(seeds.rows)
+    least = np.full(len(vectors), -np.inf)
+    if k <= n:
+        step = max(1, min(USERS_AT_ONCE, DENSE // max(width, 1), DENSE // n))
+        for first in range(0, len(vectors), step):
+            last = min(first + step, len(vectors))
+            scores = _all_dots(vectors.dense(first, last, width), seeds.rows)
+            least[first:last] = np.partition(scores, n - k, axis=1)[:, n - k] - ROUNDING
+    return least
+
+
+def _best_of(
+    users: Block, least: np.ndarray, grouped: GroupedItems, k: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Places of users and of items, and scores, for the top ``k`` items of one item block for each user
+    of one user block, as far as they reach the user's ``least``; and how many pairs were scored."""
+    vectors, width, groups = _known(users, grouped.labels), len(grouped.labels), len(grouped.group_starts) - 1
+    step = max(1, min(USERS_AT_ONCE, DENSE // max(width, 1), DENSE // max(groups, 1)))
+    found, scored = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0))], 0
+    ranges = [(x, min(x + step, len(vectors))) for x in range(0, len(vectors), step)][::-1]
+    while ranges:
+        first, last = ranges.pop()
+        dense, wanted = vectors.dense(first, last, width), least[first:last]
+        stay = _all_bounds(dense, [grouped.most_of_groups, grouped.least_of_groups]) >= wanted[:, None]
+        user, part = _open_parts(dense, stay, wanted, grouped)
+        held = grouped.leaf_starts[grouped.part_starts[part + 1]] - grouped.leaf_starts[grouped.part_starts[part]]
+        if held.sum() > DENSE and last - first > 1:
+            # Too many pairs for one turn.
+            middle = (first + last) // 2
+            ranges += [(middle, last), (first, middle)]
+            continue
+        user, leaf = _open_leaves(dense, user, part, wanted, grouped)
+        row, owner = _expanded(grouped.leaf_starts, leaf)
+        user = user[owner]
         # Rounding keeps equal scores equal whatever the order of addition.
-        score = _dots(dense, user, grouped.items, item).round(12)
-        scored += seeds.size + len(score)
+        score = _dots(dense, user, grouped.rows, row).round(12)
+        scored += len(score)
+        near = score >= wanted[user]
+        user, item, score = user[near], grouped.item[row[near]], score[near]
         order = np.lexsort((item, -score, user))
         user, item, score = user[order], item[order], score[order]
         rank = np.arange(len(user)) - np.searchsorted(user, user)
         best = rank < k
         found.append((user[best] + first, item[best], score[best]))
-    user, item, score = (np.concatenate(x) for x in zip(*found))
-    return pd.DataFrame({"user": users[user], "item": items[item], "score": score}), scored
+    return *(np.concatenate(x) for x in zip(*found)), scored
+
+
+def best_in_block(a: pd.DataFrame, b: pd.DataFrame, k: int) -> tuple[pd.DataFrame, int]:
+    """Top ``k`` items of one item block for each user of one user block, and how many pairs of a user
+    and an item were scored for it. Both frames hold unit vectors ``(id, label, value)``. A sample of the
+    items makes the threshold."""
+    users, items = (
+        _block(pa.array(x["id"]), pa.array(x["label"], pa.string()), x["value"].to_numpy(), scaled=False) for x in (a, b)
+    )
+    grouped = GroupedItems.of(items, k)
+    seeds = Block(grouped.ids, grouped.labels, grouped.rows.picked(grouped.samples))
+    user, item, score, scored = _best_of(users, _thresholds(users, seeds, k), grouped, k)
+    found = {"user": users.ids.take(pa.array(user)).to_pandas(), "item": items.ids.take(pa.array(item)).to_pandas()}
+    return pd.DataFrame({**found, "score": score}), scored + len(users.rows) * len(seeds.rows)
