@@ -377,10 +377,11 @@ def _block(ids: pa.ChunkedArray, label: pa.ChunkedArray, value: np.ndarray, scal
     if scaled:
         length = np.sqrt(np.bincount(row, weights=value * value, minlength=len(ids)))[row]
         value = np.divide(value, length, out=np.zeros(len(value)), where=length > 0)
-    # A label that a vector has twice counts twice.
+    # Of a label that a vector has twice the greatest value counts, in bounds and scores alike.
     cell, at = np.unique(row * max(len(labels), 1) + column, return_inverse=True)
-    value = np.bincount(at.ravel(), weights=value, minlength=len(cell))
-    return Block(ids, labels, Rows(*np.divmod(cell, max(len(labels), 1)), value, len(ids), ordered=True))
+    most = np.full(len(cell), -np.inf)
+    np.maximum.at(most, at.ravel(), value)
+    return Block(ids, labels, Rows(*np.divmod(cell, max(len(labels), 1)), most, len(ids), ordered=True))
 
 
 def _block_of_lists(items: pa.Table) -> Block:
