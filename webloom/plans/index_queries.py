@@ -60,7 +60,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def postings_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return index.postings(index.normalize(documents(spark, sf_dir)))
+    return index.document_postings(documents(spark, sf_dir))
 
 
 def asked_postings(spark: SparkSession, sf_dir: str, terms: DataFrame) -> DataFrame:
