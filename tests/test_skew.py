@@ -84,3 +84,14 @@ def test_null_and_hot_keys_are_split(spark):
     one = spark.range(5000).select(F.lit("k").alias("key"), "id")
     parts = salted(one, ["key"], hot_keys(one, ["key"], 50)).groupBy("_salt").count()
     assert parts.count() > 90 and parts.agg(F.max("count")).first()[0] <= 100
+
+
+def test_numbered_by_weight(spark):
+    rows = [(n % 3, n, (n * 7) % 5 + 1) for n in range(200)]
+    table = spark.createDataFrame(rows, "g int, seq int, places int")
+    found = {(r["g"], r["seq"]): r["last"] for r in numbered(table, ["seq"], "last", ["g"], 6, "places").collect()}
+    want, so_far = {}, {0: 0, 1: 0, 2: 0}
+    for g, seq, places in rows:
+        so_far[g] += places
+        want[g, seq] = so_far[g]
+    assert found == want

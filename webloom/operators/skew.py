@@ -102,8 +102,10 @@ def numbered(
     out: str,
     group: list[str] | None = None,
     partitions: int | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
-    """Number rows 1, 2, 3, ... in ``order`` inside each ``group``, or over the whole table.
+    """Number rows 1, 2, 3, ... in ``order`` inside each ``group``, or over the whole table. With
+    ``weight``, a column of whole numbers, a row takes so many places and gets the last of them.
 
     A plain ``row_number`` would sort a whole group in one task. Here the rows are cut into ranges
     of ``(group, order)`` by sampled bounds, so a large group spreads over many ranges, and equal
@@ -122,12 +124,13 @@ def numbered(
     counted_before = F.sum("_n").over(before.rowsBetween(Window.unboundedPreceding, -1))
     starts = (
         ranged.groupBy(*part)
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_n"))
         .withColumn("_start", F.coalesce(counted_before, F.lit(0)))
         .drop("_n")
     )
     inside = Window.partitionBy(*part).orderBy(*order)
-    keyed = ranged.withColumn("_at", F.row_number().over(inside))
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    keyed = ranged.withColumn("_at", F.sum(weight).over(so_far) if weight else F.row_number().over(inside))
     same = [F.col(f"k.{c}").eqNullSafe(F.col(f"s.{c}")) for c in part]
     joined = keyed.alias("k").join(starts.alias("s"), reduce(Column.__and__, same), "inner")
     return joined.select(
